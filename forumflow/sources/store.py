@@ -1,0 +1,208 @@
+"""Stored state: five keyed tables as bucketed Parquet, changed one whole batch at a time.
+
+Every row of a table belongs to one hash bucket of its key. A batch rewrites only the buckets
+its keys fall into, into a folder of its own, and then publishes a manifest that says, per
+bucket, which batch wrote it last. Until the manifest is there readers see the old state, so
+a batch that fails half way leaves nothing behind and can simply run again.
+
+There must be one writer at a time.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Mapping
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from forumflow.plans.batch import Batch, run_batch
+from forumflow.schemas import REJECT, STATE
+from forumflow.semantics import DEFAULT, Semantics
+from forumflow.session import scratch_path
+
+# Buckets per table. Aim at 256 MB to 1 GB per bucket of the full-grown table.
+DEFAULT_BUCKETS = {
+    "post": 64,
+    "comment": 64,
+    "community": 4,
+    "post_mark": 4,
+    "comment_mark": 4,
+}
+_FOLDS = {"post_fold": "post", "comment_fold": "comment"}
+
+
+class Store:
+    """The state tables under one root path.
+
+    ``buckets`` and the comment key count when the store is created; later they are read
+    from its manifest.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        buckets: Mapping[str, int] | None = None,
+        semantics: Semantics = DEFAULT,
+    ) -> None:
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.semantics = semantics
+        self._buckets = {**DEFAULT_BUCKETS, **(buckets or {})}
+        if list(self.manifest()["comment_key"]) != list(semantics.comment_key):
+            raise ValueError("the stored comments were keyed differently")
+
+    # Files, through the file system the root path names.
+
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _fs(self):
+        conf = self.spark._jsc.hadoopConfiguration()
+        return self._path(self.root).getFileSystem(conf)
+
+    def _names(self, path: str) -> list[str]:
+        fs, folder = self._fs(), self._path(path)
+        return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+    # Manifest.
+
+    def version(self) -> int:
+        """Number of the last published batch, -1 for a new store."""
+        names = self._names(f"{self.root}/manifest")
+        return max([int(n[:-5]) for n in names if n.endswith(".json")], default=-1)
+
+    def manifest(self, version: int | None = None) -> dict:
+        """What a version consists of; the empty tables for a new store."""
+        version = self.version() if version is None else version
+        if version < 0:
+            tables = {name: [-1] * self._buckets[name] for name in STATE}
+            key = list(self.semantics.comment_key)
+            return {"comment_key": key, "tables": tables, "rejects": [], "applied": {}}
+        text = self.spark.read.text(self._manifest_path(version), wholetext=True).first()[0]
+        return json.loads(text)
+
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.root}/manifest/{version:012d}.json"
+
+    def _publish(self, version: int, manifest: dict) -> None:
+        fs, target = self._fs(), self._path(self._manifest_path(version))
+        draft = self._path(f"{self._manifest_path(version)}.draft")
+        stream = fs.create(draft, True)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        if fs.exists(target) or not fs.rename(draft, target):
+            raise RuntimeError(f"version {version} was published by another writer")
+
+    # Tables.
+
+    def _keys(self, name: str) -> list[str]:
+        return {"post": ["title"], "comment": list(self.semantics.comment_key)}.get(
+            name, ["community"]
+        )
+
+    def _bucket(self, name: str, n: int):
+        # The very partition a row gets from repartition(n, *keys).
+        return F.pmod(F.hash(*self._keys(name)), F.lit(n)).cast("int")
+
+    def table(
+        self, name: str, manifest: dict | None = None, buckets: list[int] | None = None
+    ) -> DataFrame:
+        """Current rows of a table, or of some of its buckets."""
+        at = (manifest or self.manifest())["tables"][name]
+        buckets = range(len(at)) if buckets is None else buckets
+        paths = [f"{self.root}/{name}/v{at[b]}/bucket={b}" for b in buckets if at[b] >= 0]
+        if not paths:
+            return self.spark.createDataFrame([], STATE[name])
+        return self.spark.read.schema(STATE[name]).parquet(*paths)
+
+    def rejects(self) -> DataFrame:
+        """Rejected records of all batches."""
+        paths = [f"{self.root}/rejects/v{v}" for v in self.manifest()["rejects"]]
+        if not paths:
+            return self.spark.createDataFrame([], REJECT)
+        return self.spark.read.schema(REJECT).parquet(*paths)
+
+    def apply(
+        self,
+        items: DataFrame,
+        run_started_at: datetime,
+        source: str = "batch",
+        epoch: int | None = None,
+    ) -> int:
+        """Run one batch and publish it; returns the version.
+
+        A batch that names its ``epoch`` is skipped when the source has already applied it.
+        """
+        old = self.manifest()
+        if epoch is not None and epoch <= old["applied"].get(source, -1):
+            return self.version()
+        version = self.version() + 1
+        work = scratch_path(self.spark, f"batch-{version}")
+        new = json.loads(json.dumps(old))
+        touched: dict[str, list[int]] = {}
+
+        def co_located(name: str, rows: DataFrame) -> DataFrame:
+            # Both sides of a merge get the table's own partitioning, so the merge needs no
+            # further exchange and task b writes bucket b alone.
+            return rows.repartition(len(old["tables"][name]), *self._keys(name))
+
+        def find_touched(name: str, rows: DataFrame) -> None:
+            bucket = self._bucket(name, len(old["tables"][name]))
+            touched[name] = [r[0] for r in rows.select(bucket).distinct().collect()]
+
+        def stage(name: str, rows: DataFrame, by: str | None) -> DataFrame:
+            writer = rows.write.partitionBy(by) if by else rows.write
+            writer.parquet(f"{work}/{name}")
+            staged = self.spark.read.schema(rows.schema).parquet(f"{work}/{name}")
+            if name in _FOLDS:
+                find_touched(_FOLDS[name], staged)
+                staged = co_located(_FOLDS[name], staged)
+            return staged
+
+        def stored(name: str, rows: DataFrame) -> DataFrame:
+            if name not in touched:
+                find_touched(name, rows)
+            return co_located(name, self.table(name, old, touched[name]))
+
+        def emit(name: str, rows: DataFrame) -> DataFrame:
+            path = f"{self.root}/{name}/v{version}"
+            if name == "rejects":
+                rows.write.mode("overwrite").parquet(path)
+                new["rejects"].append(version)
+                return self.rejects()
+            if name not in _FOLDS.values():
+                rows = co_located(name, rows)
+            bucket = self._bucket(name, len(old["tables"][name]))
+            rows.withColumn("bucket", bucket).write.mode("overwrite").partitionBy(
+                "bucket"
+            ).parquet(path)
+            for folder in self._names(path):
+                if folder.startswith("bucket="):
+                    new["tables"][name][int(folder[7:])] = version
+            return self.table(name, new, touched[name])
+
+        batch = Batch(version, run_started_at, self.semantics, stage, emit)
+        run_batch(items, stored, batch)
+        if epoch is not None:
+            new["applied"][source] = epoch
+        self._publish(version, new)
+        self._fs().delete(self._path(work), True)
+        return version
+
+    def expire(self, keep: int = 2) -> None:
+        """Drop what only versions before the last ``keep`` still refer to."""
+        last = self.version()
+        if last < keep:
+            return
+        kept = [self.manifest(v) for v in range(last - keep + 1, last + 1)]
+        fs = self._fs()
+        for name in STATE:
+            live = {v for m in kept for v in m["tables"][name]}
+            for folder in self._names(f"{self.root}/{name}"):
+                if int(folder[1:]) <= last and int(folder[1:]) not in live:
+                    fs.delete(self._path(f"{self.root}/{name}/{folder}"), True)
+        for version in range(last - keep + 1):
+            fs.delete(self._path(self._manifest_path(version)), False)

@@ -1,0 +1,106 @@
+"""The store against the model, over several batches, and what happens around failures."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from forumflow.plans.batch import Batch
+from forumflow.schemas import POST_ITEM, STATE
+from forumflow.semantics import Semantics
+from forumflow.sources import store as store_module
+from forumflow.sources.store import Store
+from forumflow.streaming.ingest import read_item_stream, stream_upsert
+from tests.model import Model
+from tests.test_batch import START, compare, frame, item, random_items
+
+BUCKETS = {"post": 4, "comment": 4, "community": 2, "post_mark": 2, "comment_mark": 2}
+
+
+def outputs(store):
+    return {**{name: store.table(name) for name in STATE}, "rejects": store.rejects()}
+
+
+@pytest.mark.parametrize("key", [("text",), ("post_id", "author", "text")])
+def test_batches_with_late_items(spark, tmp_path, key):
+    items = random_items(random.Random(21), 300)
+    store = Store(spark, str(tmp_path / "s"), BUCKETS, Semantics(comment_key=key))
+    model = Model(key)
+    for n, part in enumerate([items[100:200], items[:100], items[200:]]):
+        started = START + dt.timedelta(days=n + 1)
+        model.run(part, started)
+        assert store.apply(frame(spark, part), started) == n
+        compare(outputs(store), model)
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"), {**BUCKETS, "post": 32})
+    store.apply(frame(spark, [item(i, postTitle=f"t{i}") for i in range(200)]), START)
+    first = store.manifest()["tables"]["post"]
+    store.apply(frame(spark, [item(500, postTitle="t7", postUpVotes="99")]), START)
+    second = store.manifest()["tables"]["post"]
+    assert sum(a != b for a, b in zip(first, second)) == 1
+    assert store.table("post").count() == 200
+    assert [r.upvotes for r in store.table("post").filter("title = 't7'").collect()] == [99]
+    # One file per bucket: the merge leaves every bucket in one task.
+    folder = tmp_path / "s" / "post" / "v0"
+    assert all(len(list(b.glob("*.parquet"))) == 1 for b in folder.glob("bucket=*"))
+    store.apply(frame(spark, [item(501, postTitle="t7", postUpVotes="100")]), START)
+    store.expire(keep=1)
+    assert store.table("post").count() == 200
+    assert not (tmp_path / "s" / "post" / "v1").exists()
+
+
+def test_failed_batch_leaves_state_alone(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "s"), BUCKETS)
+    store.apply(frame(spark, [item(1)]), START)
+
+    def fail(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(Store, "_publish", fail)
+    with pytest.raises(OSError):
+        store.apply(frame(spark, [item(2, postTitle="U")]), START)
+    assert [r.title for r in store.table("post").collect()] == ["T"]
+    monkeypatch.undo()
+    store.apply(frame(spark, [item(2, postTitle="U")]), START)
+    assert {r.title for r in store.table("post").collect()} == {"T", "U"}
+
+
+def test_empty_batch_and_new_store(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"), BUCKETS)
+    assert {name: store.table(name).count() for name in STATE} == dict.fromkeys(STATE, 0)
+    store.apply(frame(spark, []), START)
+    assert {name: store.table(name).count() for name in STATE} == dict.fromkeys(STATE, 0)
+    assert store.rejects().count() == 0
+
+
+def test_comment_key_is_fixed_for_a_store(spark, tmp_path):
+    Store(spark, str(tmp_path / "s"), BUCKETS).apply(frame(spark, [item(1)]), START)
+    with pytest.raises(ValueError):
+        Store(spark, str(tmp_path / "s"), semantics=Semantics(comment_key=("author", "text")))
+
+
+def test_stream_equals_batches_and_replay_changes_nothing(spark, tmp_path):
+    items = random_items(random.Random(3), 160)
+    inbox = tmp_path / "inbox"
+    parts = [items[:50], items[50:90], items[90:]]
+    for n, part in enumerate(parts):
+        frame(spark, part).coalesce(1).write.json(str(tmp_path / f"part{n}"))
+    inbox.mkdir()
+    store = Store(spark, str(tmp_path / "s"), BUCKETS)
+    model = Model()
+    stream = read_item_stream(spark, str(inbox))
+    for n, part in enumerate(parts):
+        [file] = (tmp_path / f"part{n}").glob("*.json")
+        (inbox / f"{n}.json").write_bytes(file.read_bytes())
+        query = stream_upsert(
+            stream, store, str(tmp_path / "cp"), "items", clock=lambda: START + dt.timedelta(days=9)
+        )
+        query.awaitTermination()
+        model.run(part, START + dt.timedelta(days=9))
+    compare(outputs(store), model)
+    before = store.version()
+    assert store.apply(frame(spark, parts[2]), START, source="items", epoch=2) == before
+    compare(outputs(store), model)
