@@ -23,12 +23,8 @@ NULL_TEXT = "None"
 # Unicode white space, as a regex character class body (Java's \s is ASCII only).
 SPACE = r"\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-# Largest step back that can stay within years 1..9999; keeps interval arithmetic from overflowing.
-_MAX_DAYS = 3_660_000
-_MAX_HOURS = 24 * _MAX_DAYS
-_MAX_MONTHS = 12 * 10_000
-_FIRST_TIME = "0001-01-01 00:00:00"
-_LAST_TIME = "9999-12-31 23:59:59.999999"
+# Times that can be stored.
+_FIRST_DAY, _LAST_DAY = "0001-01-01", "9999-12-31"
 
 
 def words(text: Column) -> Column:
@@ -73,9 +69,8 @@ def comment_votes(text: Column, k_suffix: str = "decimal") -> Column:
 
 def percent_upvoted(text: Column) -> Column:
     """'98% Upvoted' -> 98; NULL or '' -> 0; NULL when unreadable."""
-    return F.when(text.isNull() | (text == ""), F.lit(0)).otherwise(
-        _without_last_char(word(text, 1)).try_cast("int")
-    )
+    shown = F.regexp_extract(text, f"^[{SPACE}]*([^{SPACE}]*)[^{SPACE}]", 1)
+    return F.when(text.isNull() | (text == ""), F.lit(0)).otherwise(shown.try_cast("int"))
 
 
 def relative_time(text: Column, at: Column, months: str = "calendar") -> Column:
@@ -84,29 +79,40 @@ def relative_time(text: Column, at: Column, months: str = "calendar") -> Column:
     NULL text -> NULL. An unknown unit counts as just now (see ``age_known``). Unreadable
     text and results outside years 1..9999 -> NULL (see ``age_ok``).
     """
-    unit = word(text, 2)
-    n = word(text, 1).try_cast("int")
-    zero = F.lit(0)
-
-    def within(limit: int) -> Column:
-        return F.when(F.abs(n.cast("bigint")) <= limit, n)
-
+    first, unit = word(text, 1), word(text, 2)
+    n = first.try_cast("int")
+    none, zero = F.lit(None).cast("timestamp_ntz"), F.lit(0)
+    # How far each unit can go before the calendar ends, so that no arithmetic overflows.
+    days_back = F.datediff(at, F.lit(_FIRST_DAY).cast("date"))
+    days_on = F.datediff(F.lit(_LAST_DAY).cast("date"), at)
+    hours_back = days_back * 24 + F.hour(at)
+    minutes_back = hours_back.cast("bigint") * 60 + F.minute(at)
+    months_back = F.year(at) * 12 + F.month(at) - 13
+    within_days = n.between(-days_on, days_back)
+    within_hours = n.between(-days_on * 24, hours_back)
+    within_minutes = n.between(-days_on.cast("bigint") * 1440, minutes_back)
+    within_months = n.between(-days_on / 31, months_back)
     if months == "calendar":
-        month_start = at - F.make_ym_interval(zero, within(_MAX_MONTHS))
+        month_start = F.when(within_months, at - F.make_ym_interval(zero, n))
     else:
-        month_start = F.lit(None).cast("timestamp_ntz")
-    moved = (
-        F.when(word(text, 1) == NOW_WORD, at)
-        .when(unit == "", F.lit(None).cast("timestamp_ntz"))
-        .when(unit.isin(*HOUR_WORDS), at - F.make_dt_interval(zero, within(_MAX_HOURS)))
-        .when(unit.isin(*MINUTE_WORDS), at - F.make_dt_interval(zero, zero, n))
-        .when(unit.isin(*DAY_WORDS), at - F.make_dt_interval(within(_MAX_DAYS)))
+        month_start = none
+    # The first condition, which every row meets, names both words twice: Spark then extracts
+    # each of them once per row instead of once per use.
+    found = first.isNotNull() & unit.isNotNull()
+    return (
+        F.when(found & (unit == "") & (first != NOW_WORD), none)
+        .when(first == NOW_WORD, at)
+        .when(
+            unit.isin(*HOUR_WORDS), F.when(within_hours, at - F.make_dt_interval(zero, n))
+        )
+        .when(
+            unit.isin(*MINUTE_WORDS),
+            F.when(within_minutes, at - F.make_dt_interval(zero, zero, n)),
+        )
+        .when(unit.isin(*DAY_WORDS), F.when(within_days, at - F.make_dt_interval(n)))
         .when(unit.isin(*MONTH_WORDS), month_start)
-        .otherwise(at)
+        .when(text.isNotNull(), at)
     )
-    first = F.lit(_FIRST_TIME).cast("timestamp_ntz")
-    last = F.lit(_LAST_TIME).cast("timestamp_ntz")
-    return F.when(text.isNotNull() & moved.between(first, last), moved)
 
 
 def age_ok(text: Column, at: Column, months: str = "calendar") -> Column:

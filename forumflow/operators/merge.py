@@ -85,17 +85,26 @@ def upsert_communities(rows: DataFrame, communities: DataFrame) -> DataFrame:
 
 
 def fold_posts(rows: DataFrame) -> DataFrame:
-    """One row per title of usable post rows: ``first`` able to create it, and ``last``."""
-    usable = rows.filter(F.col("reason").isNull() & (F.col("pos_offset") == 0))
+    """One row per title of usable post rows: ``first`` able to create it, and ``last``.
+
+    Unusable rows are told apart inside the aggregate. A filter would be pushed below the
+    typing of the rows and work out every value a second time.
+    """
     order = F.struct(*_ORDER)
-    creates = F.col("insert_reason").isNull()
-    return usable.groupBy("title").agg(
-        F.min_by(
-            F.struct("author", "text", "datetime", *_ORDER), F.when(creates, order)
-        ).alias("first"),
-        F.max_by(
-            F.struct("upvotes", "percent_upvotes", "comment_count", "community", *_ORDER), order
-        ).alias("last"),
+    usable = F.col("reason").isNull() & (F.col("pos_offset") == 0)
+    creates = usable & F.col("insert_reason").isNull()
+    return (
+        rows.groupBy(F.when(usable, F.col("title")).alias("title"))
+        .agg(
+            F.min_by(
+                F.struct("author", "text", "datetime", *_ORDER), F.when(creates, order)
+            ).alias("first"),
+            F.max_by(
+                F.struct("upvotes", "percent_upvotes", "comment_count", "community", *_ORDER),
+                F.when(usable, order),
+            ).alias("last"),
+        )
+        .filter(F.col("last").isNotNull())
     )
 
 

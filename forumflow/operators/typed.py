@@ -119,8 +119,13 @@ def post_rows(typed: DataFrame) -> DataFrame:
 
 
 def flatten_comments(typed: DataFrame) -> DataFrame:
-    """One row per captured comment with its post's key columns; posts without any give none."""
-    return typed.select(
+    """One row per captured comment with its post's key columns; posts without any give none.
+
+    Comments of unusable items are left out. That is decided inside the generator, since a
+    filter on ``reason`` would be pushed below the typing and work it out twice.
+    """
+    usable = F.when(F.col("reason").isNull(), F.col("comments"))
+    flat = typed.select(
         "seq",
         "captured_at",
         "community",
@@ -128,8 +133,9 @@ def flatten_comments(typed: DataFrame) -> DataFrame:
         "post_id",
         "insert_reason",
         "pos_offset",
-        F.posexplode("comments").alias("index", "comment"),
-    ).select(
+        F.posexplode_outer(usable).alias("index", "comment"),
+    )
+    return flat.filter(F.col("index").isNotNull()).select(
         "seq",
         "captured_at",
         (F.col("pos_offset") + F.col("index")).alias("pos"),

@@ -15,6 +15,7 @@ from forumflow.operators.quality import fits, reject_rows
 from forumflow.operators.typed import flatten_comments, post_rows, type_comments, type_posts
 from forumflow.schemas import REJECT, STATE, WIDTH
 from forumflow.semantics import DEFAULT, Semantics
+from forumflow.session import scratch_path
 
 
 def empty_state(spark: SparkSession) -> dict[str, DataFrame]:
@@ -66,9 +67,8 @@ def run_batch(
     )
     out["post"] = posts
 
-    usable = typed.filter(F.col("reason").isNull())
     comments_in = batch.stage(
-        "comment_rows", type_comments(flatten_comments(usable), batch.semantics), "pending"
+        "comment_rows", type_comments(flatten_comments(typed), batch.semantics), "pending"
     )
     settled = merge.settle_comments(comments_in, posts, batch.batch_id)
     comment_fold = batch.stage("comment_fold", merge.fold_comments(settled, keys), None)
@@ -100,6 +100,29 @@ def run_batch(
     return out
 
 
+def run_staged(
+    items: DataFrame,
+    state: Mapping[str, DataFrame],
+    run_started_at: datetime,
+    batch_id: int = 0,
+    semantics: Semantics = DEFAULT,
+) -> dict[str, DataFrame]:
+    """``run_batch`` over whole state tables, with the intermediates written to scratch.
+
+    The results themselves stay lazy.
+    """
+    spark = items.sparkSession
+    work = scratch_path(spark, "run")
+
+    def stage(name: str, rows: DataFrame, by: str | None) -> DataFrame:
+        writer = rows.write.partitionBy(by) if by else rows.write
+        writer.parquet(f"{work}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{work}/{name}")
+
+    batch = Batch(batch_id, run_started_at, semantics, stage)
+    return run_batch(items, lambda name, rows: state[name], batch)
+
+
 def run_in_memory(
     items: DataFrame,
     state: Mapping[str, DataFrame],

@@ -30,7 +30,7 @@ from forumflow.operators.typed import (
     type_comments,
     type_posts,
 )
-from forumflow.plans.batch import empty_state, run_in_memory
+from forumflow.plans.batch import empty_state, run_staged
 from forumflow.plans.inputs import (
     conversation_items,
     event_items,
@@ -402,7 +402,7 @@ def upsert_posts(spark, sf_dir):
 
 
 def _run(spark, items):
-    return run_in_memory(items, empty_state(spark), RUN_STARTED, BATCH)
+    return run_staged(items, empty_state(spark), RUN_STARTED, BATCH)
 
 
 def upsert_comments(spark, sf_dir):
@@ -412,7 +412,10 @@ def upsert_comments(spark, sf_dir):
 
 
 def post_mark(spark, sf_dir):
-    return _run(spark, event_items(table(spark, sf_dir, "events")))["post_mark"]
+    items = event_items(table(spark, sf_dir, "events"))
+    rows = post_rows(type_posts(items))
+    touched = mk.touched_posts(rows, _posts(spark, items), BATCH)
+    return mk.marks(mk.batch_communities(rows), touched, RUN_STARTED)
 
 
 def comment_mark(spark, sf_dir):

@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Safe on any cluster size: adaptive execution sizes and splits shuffle partitions at run
-# time, and skewed lookup joins are split even where that costs one more exchange.
+# time, and skewed lookup joins are split even where that costs one more exchange. The JVM
+# does not compile methods above 8000 bytes, so generated code of that size is not worth having.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

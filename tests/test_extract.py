@@ -16,7 +16,7 @@ from forumflow.operators.extract import (
     tag_texts,
 )
 from forumflow.operators.markup import Nodes, parse, text_nodes
-from forumflow.plans.batch import empty_state, run_in_memory
+from forumflow.plans.batch import empty_state, run_staged
 from forumflow.schemas import PAGE, POST_ITEM
 from forumflow.sources.pages import items_from_pages, linkless_cards, post_links
 
@@ -124,7 +124,7 @@ def test_items(spark):
 def test_pages_to_state(spark):
     items = items_from_pages(pages(spark), BASE)
     assert items.schema == POST_ITEM
-    out = run_in_memory(items, empty_state(spark), AT)
+    out = run_staged(items, empty_state(spark), AT)
     posts = {r.title: r for r in out["post"].collect()}
     assert set(posts) == {"One & only", "Three"}
     assert posts["One & only"].upvotes == 1200
@@ -212,8 +212,8 @@ def test_parts_count_once(spark):
         " array(concat('t', id % 20)) commentText) comment",
     )
     state = empty_state(spark)
-    whole = run_in_memory(assemble_items(posts, comments, ["seq"]), state, AT)
-    parts = run_in_memory(assemble_items(posts, comments, ["seq"], part_size=4), state, AT)
+    whole = run_staged(assemble_items(posts, comments, ["seq"]), state, AT)
+    parts = run_staged(assemble_items(posts, comments, ["seq"], part_size=4), state, AT)
     for name in whole:
         assert sorted(whole[name].collect(), key=str) == sorted(parts[name].collect(), key=str)
     assert parts["post"].first().comment_count == 25

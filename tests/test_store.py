@@ -4,14 +4,12 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
-from forumflow.plans.batch import Batch
-from forumflow.schemas import POST_ITEM, STATE
+from forumflow.operators.typed import post_rows, type_posts
+from forumflow.schemas import STATE
 from forumflow.semantics import Semantics
-from forumflow.sources import store as store_module
 from forumflow.sources.store import Store
-from forumflow.streaming.ingest import read_item_stream, stream_upsert
+from forumflow.streaming.ingest import read_item_stream, running_counters, stream_upsert
 from tests.model import Model
 from tests.test_batch import START, compare, frame, item, random_items
 
@@ -104,3 +102,28 @@ def test_stream_equals_batches_and_replay_changes_nothing(spark, tmp_path):
     before = store.version()
     assert store.apply(frame(spark, parts[2]), START, source="items", epoch=2) == before
     compare(outputs(store), model)
+
+
+def test_running_counters_equal_the_batch(spark, tmp_path):
+    items = random_items(random.Random(4), 120)
+    for n in range(3):
+        rows = frame(spark, items[n * 40 : n * 40 + 40]).coalesce(1)
+        rows.write.mode("append").json(str(tmp_path / "in"))
+
+    def usable(rows):
+        typed = post_rows(type_posts(rows))
+        return typed.filter("reason is null and insert_reason is null")
+
+    stream = read_item_stream(spark, str(tmp_path / "in"), maxFilesPerTrigger="1")
+    query = (
+        running_counters(usable(stream))
+        .writeStream.outputMode("complete")
+        .format("memory")
+        .queryName("counters")
+        .trigger(availableNow=True)
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .start()
+    )
+    query.awaitTermination()
+    batch = running_counters(usable(frame(spark, items))).collect()
+    assert sorted(spark.table("counters").collect(), key=str) == sorted(batch, key=str)
