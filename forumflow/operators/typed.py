@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -118,13 +118,13 @@ def post_rows(typed: DataFrame) -> DataFrame:
     )
 
 
-def flatten_comments(typed: DataFrame) -> DataFrame:
+def flatten_comments(typed: DataFrame, where: Column | None = None) -> DataFrame:
     """One row per captured comment with its post's key columns; posts without any give none.
 
-    Comments of unusable items are left out. That is decided inside the generator, since a
-    filter on ``reason`` would be pushed below the typing and work it out twice.
+    ``where`` picks the items whose comments to take. It is applied inside the generator: as a
+    filter it would be pushed below the typing of the items and work that out twice.
     """
-    usable = F.when(F.col("reason").isNull(), F.col("comments"))
+    chosen = F.col("comments") if where is None else F.when(where, F.col("comments"))
     flat = typed.select(
         "seq",
         "captured_at",
@@ -133,7 +133,7 @@ def flatten_comments(typed: DataFrame) -> DataFrame:
         "post_id",
         "insert_reason",
         "pos_offset",
-        F.posexplode_outer(usable).alias("index", "comment"),
+        F.posexplode_outer(chosen).alias("index", "comment"),
     )
     return flat.filter(F.col("index").isNotNull()).select(
         "seq",

@@ -67,9 +67,8 @@ def run_batch(
     )
     out["post"] = posts
 
-    comments_in = batch.stage(
-        "comment_rows", type_comments(flatten_comments(typed), batch.semantics), "pending"
-    )
+    flat = flatten_comments(typed, where=F.col("reason").isNull())
+    comments_in = batch.stage("comment_rows", type_comments(flat, batch.semantics), "pending")
     settled = merge.settle_comments(comments_in, posts, batch.batch_id)
     comment_fold = batch.stage("comment_fold", merge.fold_comments(settled, keys), None)
     out["comment"] = batch.emit(
