@@ -24,6 +24,7 @@ from forumflow.operators.extract import (
 )
 from forumflow.operators.markup import Nodes
 from forumflow.operators.typed import (
+    content_id,
     flatten_comments,
     post_rows,
     project_posts,
@@ -370,15 +371,14 @@ def resolve_post_id(spark, sf_dir):
 
 
 def lookup_comment(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    stored = merge.last_per_key(
-        documents.filter(F.col("source") < "src5").select("text", "source", "doc_id"),
-        ["text"],
-        ["doc_id"],
+    # Long texts are looked up by their content id, so that they need not be shuffled.
+    documents = table(spark, sf_dir, "documents").select(
+        content_id("text").alias("id"), "source", "doc_id"
     )
+    stored = merge.last_per_key(documents.filter(F.col("source") < "src5"), ["id"], ["doc_id"])
     return merge.lookup(
-        documents.select("doc_id", "text"), stored, ["text"], ["source", "doc_id"]
-    ).drop("text")
+        documents.select("doc_id", "id"), stored, ["id"], ["source", "doc_id"]
+    ).drop("id")
 
 
 def flatten_comments_query(spark, sf_dir):
