@@ -8,7 +8,6 @@ from forumflow.operators.extract import (
     POST_LAYOUT,
     assemble_items,
     drop_promoted,
-    extract_cards,
     extract_posts,
     first_link,
     resolve_url,
