@@ -2,4 +2,38 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+# Words of a text: A-Z lower-cased, then runs of ASCII letters and digits and of anything beyond
+# ASCII. Used by the operators on word shingles and by decontamination.
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    r" 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+DECONTAMINATION = rf"""
+with item as (select item_id, {_WORDS} as w from benchmark),
+win as (
+  select distinct item_id, w[i:i + least(len(w), 10) - 1] as win
+  from item, unnest(generate_series(1, greatest(len(w) - 10, 0) + 1)) as s(i)
+  where len(w) > 0),
+doc as (select row_number() over () as rn, doc_id, {_WORDS} as w from documents),
+place as (
+  select rn, i, l, w[i:i + l - 1] as win
+  from doc, (select distinct len(win) as l from win),
+    unnest(generate_series(1, len(w))) as s(i)
+  where i + l - 1 <= len(w)),
+hit as (select rn, i, l, item_id from place join win using (win)),
+word as (
+  select rn, count(distinct p) as n_hit
+  from hit, unnest(generate_series(i, i + l - 1)) as s(p) group by rn),
+ids as (
+  select rn, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  from (select distinct rn, item_id::varchar as id from hit) group by rn)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+  coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from doc left join word using (rn) left join ids using (rn)
+"""
+
+ORACLE: dict[str, str] = {
+    "op10_decontamination": DECONTAMINATION,
+}

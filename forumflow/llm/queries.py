@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forumflow.llm import quality
+from forumflow.llm import decontaminate, quality
 from forumflow.llm.staging import table
 
 
@@ -13,6 +13,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.document_quality(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item."""
+    docs, items = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.contamination(docs, items, ["doc_id"])
+
+
 QUERIES = {
     "op9_quality_rules": op9_quality_rules,
+    "op10_decontamination": op10_decontamination,
 }

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from forumflow.session import scratch_path
 
@@ -43,15 +46,27 @@ def batches_of(
 
 def text_bytes(column: pa.Array):
     """Bytes of each value of a string array, 0 for null."""
-    import pyarrow.compute as pc
-
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).tolist()
 
 
-def map_arrow(
-    rows: DataFrame,
-    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str,
-) -> DataFrame:
-    """``mapInArrow`` under one name."""
-    return rows.mapInArrow(function, schema)
+def numbered(docs: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """``row`` (unique) and the columns of every row, written down so that numbers stay.
+
+    ``doc`` among the columns stands for a struct of all columns of the input.
+    """
+    picked = [F.struct(*docs.columns).alias("doc") if c == "doc" else F.col(c) for c in columns]
+    return staged(docs.select(F.monotonically_increasing_id().alias("row"), *picked), name)
+
+
+def bitmap(rows: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Which of ``2**bits`` positions occur in a column, as booleans.
+
+    Positions are packed into 64-bit numbers before anything reaches the driver, so what is
+    collected is at most ``2**bits / 8`` bytes, whatever the rows.
+    """
+    bit = F.expr(f"shiftleft(1L, cast({column} & 63 as int))")
+    packed = rows.groupBy(F.shiftright(column, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    found = packed.toArrow()
+    words = np.zeros(1 << (bits - 6), np.int64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
