@@ -34,6 +34,24 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from doc left join word using (rn) left join ids using (rn)
 """
 
+JACCARD = rf"""
+with recursive doc as (select row_number() over () as rn, doc_id, {_WORDS} as w from documents),
+gram as (
+  select distinct rn, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') as g
+  from doc, unnest(generate_series(1, greatest(len(w) - 5, 0) + 1)) as s(i) where len(w) > 0),
+size as (select rn, count(*) as n from gram group by rn),
+pair as (
+  select a.rn as a, b.rn as b
+  from gram a join gram b on a.g = b.g and a.rn <> b.rn
+    join size s on s.rn = a.rn join size t on t.rn = b.rn
+  group by a.rn, b.rn, s.n, t.n having 9 * count(*) >= 4 * (s.n + t.n)),
+reach as (select rn as a, rn as b from doc union select r.a, p.b from reach r join pair p on p.a = r.b),
+class as (select a, min(doc_id) as class_id from reach join doc on rn = b group by a)
+select doc_id, class_id, (select count(*) from pair where pair.a = rn) as n_links
+from doc join class on class.a = rn
+"""
+
 ORACLE: dict[str, str] = {
+    "op8_ngram_jaccard_join": JACCARD,
     "op10_decontamination": DECONTAMINATION,
 }

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forumflow.llm import decontaminate, quality
+from forumflow.llm import decontaminate, jaccard, quality
 from forumflow.llm.staging import table
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and verdict of every document."""
     return quality.document_quality(table(spark, sf_dir, "documents"))
@@ -20,6 +25,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
 }
