@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forumflow.llm import decontaminate, jaccard, quality
+from forumflow.llm import decontaminate, jaccard, packing, quality, token_files
 from forumflow.llm.staging import table
+from forumflow.session import scratch_path
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written to files and read back."""
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=2)
+    return token_files.token_index(spark, path)
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +41,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_token_files": op6_token_files,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
