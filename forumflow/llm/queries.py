@@ -5,13 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forumflow.llm import decontaminate, jaccard, packing, quality, token_files
+from forumflow.llm import decontaminate, jaccard, packing, quality, token_files, toxicity
 from forumflow.llm.staging import table
 from forumflow.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return toxicity.score_documents(docs, labels)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
@@ -41,6 +47,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_token_files": op6_token_files,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
