@@ -29,7 +29,7 @@ from forumflow.llm.words import mix, words_of
 
 PAIR_BITS = 22
 SHINGLE = 3
-_BATCH = 8 << 20
+_BATCH = 2 << 20
 
 
 def _pair_hashes(h: np.ndarray) -> np.ndarray:

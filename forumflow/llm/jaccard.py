@@ -44,7 +44,7 @@ STEP = 16
 THRESHOLD = (4, 5)
 TOLERANCE = 1e-6
 BLOCK = 512
-_BATCH = 8 << 20
+_BATCH = 2 << 20
 _PAIRS = 1 << 18
 _GROUP = ["band", "key", "low", "high"]
 

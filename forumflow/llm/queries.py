@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forumflow.llm import decontaminate, jaccard, packing, quality, token_files, toxicity
+from forumflow.llm import decontaminate, html_extract, jaccard, packing, quality, token_files, toxicity
 from forumflow.llm.staging import table
 from forumflow.session import scratch_path
 
@@ -30,6 +30,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_index(spark, path)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    model = html_extract.train(spark)
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"), model)
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
@@ -50,6 +56,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_token_files": op6_token_files,
+    "op7_html_extraction": op7_html_extraction,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
