@@ -319,7 +319,7 @@ def labelled_page(seed: int) -> str:
         return el(wrap, 1, body, "content", 0.6 if wrap != "div" else 1.0)
 
     top = [links("nav", "menu", 0.4) if r.random() < 0.8 else links("div", "menu", 1.0)]
-    if r.random() < 0.4:
+    if r.random() < 0.8:
         name = el(r.choice(["div", "h1", "p"]), 0, _words(r, 1, 5))
         top.append(el("header", 0, name + links("nav", "menu", 0.3), "page", 0.5))
     if r.random() < 0.7:
