@@ -51,7 +51,79 @@ select doc_id, class_id, (select count(*) from pair where pair.a = rn) as n_link
 from doc join class on class.a = rn
 """
 
+# The latest earlier response by a plain correlated maximum, validators in order of strength.
+REVISITS = r"""
+with page as (
+  select page_id as n, url, html, '"' || md5(html)[1:12] || '"' as tag, sha1(html) as sha,
+    strftime(make_timestamp((1700000000 + (page_id % 50) * 86400) * 1000000), '%Y-%m-%d') as day
+  from pages),
+raw as (
+  select 2 * n as record_id, true as is_full, url as uri, 1700000000 + n * 600 as t,
+    list_filter([
+      {'k': 'Content-Type', 'v': 'text/html'}, {'k': 'Content-Length', 'v': strlen(html)::varchar},
+      {'k': 'ETag', 'v': case when n % 4 <> 0 then tag end},
+      {'k': 'Last-Modified', 'v': case when n % 3 <> 0 then day end},
+      {'k': 'Cache-Control', 'v': 'max-age=60'}], lambda h: h.v is not null) as headers, sha
+  from page
+  union all
+  select 2 * n + 1, false,
+    url || case when contains(url, '?') or contains(url, '#') then ''
+      else ['', '#top', '/'][n % 3 + 1] end,
+    1700000000 + n * 600 + (n % 40) * 601,
+    list_filter([
+      {'k': 'Content-Length', 'v': '0'},
+      {'k': 'ETag', 'v': case when n % 5 = 0 then '"other"' when n % 2 = 0 then 'W/' || tag
+        when n % 7 <> 0 then tag end},
+      {'k': 'last-modified', 'v': case when n % 11 <> 0 then day end},
+      {'k': 'Cache-Control', 'v': case when n % 2 = 0 then 'max-age=120' end}],
+      lambda h: h.v is not null),
+    case when n % 13 <> 0 then sha end
+  from page),
+cut as (
+  select *, regexp_replace(uri, '#.*$', '') as whole,
+    lower(regexp_extract(uri, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)) as site from raw),
+part as (
+  select *, regexp_replace(regexp_replace(whole, '\?.*$', '')[len(site) + 1:], '/+$', '') as path,
+    list_sort(list_filter(string_split(regexp_extract(whole, '\?(.*)$', 1), '&'),
+      lambda p: p <> '' and not starts_with(p, 'utm_'))) as params from cut),
+rec as (
+  select record_id, is_full, t, headers, sha, site || path ||
+    case when len(params) = 0 then '' else '?' || array_to_string(params, '&') end as url
+  from part),
+near as (
+  select r.record_id, arg_max(f.record_id, (f.t, f.record_id)) as target_id
+  from rec r join rec f on r.url = f.url and f.t < r.t
+  where not r.is_full and f.is_full group by r.record_id),
+both_ as (
+  select r.record_id, r.url, target_id, r.headers as h, f.headers as g, r.sha as a, f.sha as b,
+    regexp_replace(list_filter(r.headers, lambda x: lower(x.k) = 'etag')[1].v, '^W/', '') as e1,
+    regexp_replace(list_filter(f.headers, lambda x: lower(x.k) = 'etag')[1].v, '^W/', '') as e2,
+    list_filter(r.headers, lambda x: lower(x.k) = 'last-modified')[1].v as l1,
+    list_filter(f.headers, lambda x: lower(x.k) = 'last-modified')[1].v as l2
+  from rec r left join near using (record_id) left join rec f on f.record_id = target_id
+  where not r.is_full),
+judged as (
+  select *, case when target_id is null then 'no response'
+      when e1 is not null and e2 is not null then case when e1 = e2 then 'etag' else 'differs' end
+      when l1 is not null and l2 is not null then case when l1 = l2 then 'last-modified' else 'differs' end
+      when a is not null and b is not null then case when a = b then 'digest' else 'differs' end
+      else 'no validator' end as verdict,
+    list_filter(h, lambda x: lower(x.k) in ('cache-control', 'content-location', 'date', 'etag',
+      'expires', 'last-modified', 'vary')) as new
+  from both_),
+merged as (
+  select *, verdict in ('etag', 'last-modified', 'digest') as ok,
+    list_concat(list_filter(g, lambda x: not list_contains(
+      list_transform(new, lambda y: lower(y.k)), lower(x.k))), new) as m from judged)
+select record_id, url, target_id, verdict, case when ok then len(m) else 0 end::bigint as n_headers,
+  case when ok then sha256(array_to_string(list_transform(m, lambda x: x.k || ': ' || x.v), chr(10)))
+    end as headers_sha256,
+  case when ok then b end as payload_digest
+from merged
+"""
+
 ORACLE: dict[str, str] = {
+    "op4_warc_revisits": REVISITS,
     "op8_ngram_jaccard_join": JACCARD,
     "op10_decontamination": DECONTAMINATION,
 }

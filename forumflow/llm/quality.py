@@ -327,12 +327,15 @@ def verdicts(
     out = rows.select(
         F.struct(*rows.columns).alias("row"), failed.alias("base_failed"), *groups, *features(stats)
     )
-    estimate = F.struct(*_estimate_columns())
-    for level, by in ((0, ["g0", "g1"]), (1, ["g0"]), (2, [])):
+    columns = _estimate_columns()
+    estimate = F.struct(*columns)
+    for level, by in ((0, ["g0", "g1"]), (1, ["g0"])):
         names = [F.col(c).alias(g) for c, g in zip("ab", by)]
         one = found.filter(F.col("level") == level).select(*names, estimate.alias(f"e{level}"))
         out = _by_group(out, one, by, "left")
-    out = out.select("row", "base_failed", *FEATURES, F.coalesce("e0", "e1", "e2").alias("e"))
+    every = found.filter("level = 2").select(*columns).first()  # a row of numbers, if any
+    rest = F.struct(*[F.lit(every[c] if every else None).cast("double").alias(c) for c in columns])
+    out = out.select("row", "base_failed", *FEATURES, F.coalesce("e0", "e1", rest).alias("e"))
     out = out.select("row", "base_failed", *FEATURES, "e.*").withColumn("distance", _distance())
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= rules.cutoff, F.lit(True))
     return out.select("row.*", "base_failed", "distance", kept.alias("kept"))

@@ -15,6 +15,7 @@ from forumflow.llm import (
     quality,
     token_files,
     toxicity,
+    warc,
 )
 from forumflow.llm.staging import table
 from forumflow.session import scratch_path
@@ -43,6 +44,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
 
 
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revisit of the captures that follow from the pages, resolved."""
+    return warc.page_revisits(table(spark, sf_dir, "pages"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the formatted conversations hold, read back; one more conversation tries to break out."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -87,6 +93,7 @@ QUERIES = {
     "language_id_pages": language_id_pages,
     "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_warc_revisits": op4_warc_revisits,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_token_files": op6_token_files,
     "op7_html_extraction": op7_html_extraction,
