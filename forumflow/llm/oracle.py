@@ -115,7 +115,7 @@ merged as (
   select *, verdict in ('etag', 'last-modified', 'digest') as ok,
     list_concat(list_filter(g, lambda x: not list_contains(
       list_transform(new, lambda y: lower(y.k)), lower(x.k))), new) as m from judged)
-select record_id, url, target_id, verdict, case when ok then len(m) else 0 end::bigint as n_headers,
+select record_id, url, coalesce(target_id, -1) as target_id, verdict, case when ok then len(m) else 0 end::bigint as n_headers,
   case when ok then sha256(array_to_string(list_transform(m, lambda x: x.k || ': ' || x.v), chr(10)))
     end as headers_sha256,
   case when ok then b end as payload_digest

@@ -32,7 +32,7 @@ from forumflow.llm.tokens import encoder
 
 CAPACITY = 4096
 PER_PARTITION = 100_000
-_BATCH = 8 << 20
+_BATCH = 3 << 20
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from forumflow.llm.staging import batches_of
 from forumflow.llm.tokens import encoder
 
-_BATCH = 8 << 20
+_BATCH = 3 << 20
 LAYOUT = {
     "parquet.writer.version": "PARQUET_2_0",  # deltas where there is no dictionary
     "parquet.enable.dictionary#doc_id": "false",

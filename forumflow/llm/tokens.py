@@ -10,6 +10,8 @@ every text in which Arrow's white space differs from the tokenizer's, goes throu
 from __future__ import annotations
 
 import re
+from array import array
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -23,7 +25,11 @@ _PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
 _PIECES = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+|\n")
 # Arrow splits at these, the tokenizer does not.
 _ODD_SPACE = "[\x1c-\x1f]"
-_MOST_KNOWN = 400_000  # runs remembered from batch to batch; beyond it they are encoded again
+_MOST_KNOWN = 250_000  # runs remembered from batch to batch; beyond it they are encoded again
+
+
+def _packed(ids: Iterable[int]) -> bytes:
+    return array("i", ids).tobytes()
 
 
 class BatchEncoder:
@@ -35,38 +41,38 @@ class BatchEncoder:
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
         self.bytes = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in letters})
-        self.known: dict[str, np.ndarray] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            ids = [t.id for t in self.model.tokenize(piece.translate(self.bytes))]
+            ids = _packed(t.id for t in self.model.tokenize(piece.translate(self.bytes)))
             if len(self.pieces) < _MOST_KNOWN:
                 self.pieces[piece] = ids
         return ids
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [_packed(e.ids) for e in found]
 
-    def _runs(self, runs: list[str]) -> list[np.ndarray]:
-        """Ids of each distinct run."""
-        out: list[np.ndarray | None] = [self.known.get(r) for r in runs]
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """Ids of each distinct run, as the bytes of 32-bit integers."""
+        out: list[bytes | None] = [self.known.get(r) for r in runs]
         new = [i for i, ids in enumerate(out) if ids is None]
         plain = [i for i in new if _PLAIN.fullmatch(runs[i]) and "<|" not in runs[i]]
         simple = set(plain)
         other = [i for i in new if i not in simple]
         if plain:
-            ids: list[int] = []
-            at = 0
-            for piece in _PIECES.findall("\n".join(runs[i] for i in plain).lower() + "\n"):
+            at, ids = 0, []
+            for piece in _PIECES.findall("\n".join([runs[i] for i in plain]).lower() + "\n"):
                 if piece == "\n":
-                    out[plain[at]] = np.array(ids, np.int32)
+                    out[plain[at]] = b"".join(ids)
                     at, ids = at + 1, []
                 else:
-                    ids = ids + self._piece(piece)
+                    ids.append(self._piece(piece))
         for i, ids in zip(other, self._encode([runs[i] for i in other])):
-            out[i] = np.array(ids, np.int32)
+            out[i] = ids
         for i in new[: max(0, _MOST_KNOWN - len(self.known))]:
             self.known[runs[i]] = out[i]
         return out
@@ -79,8 +85,8 @@ class BatchEncoder:
         offsets = split.offsets.to_numpy()
         coded = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         runs = self._runs(coded.dictionary.to_pylist())
-        sizes = np.array([len(r) for r in runs], np.int64)
-        flat = np.concatenate([np.empty(0, np.int32), *runs])
+        sizes = np.array([len(r) // 4 for r in runs], np.int64)
+        flat = np.frombuffer(b"".join(runs), np.int32)
         begin = np.cumsum(sizes) - sizes
         which = coded.indices.to_numpy()
         lengths = sizes[which]
@@ -97,7 +103,7 @@ class BatchEncoder:
         parts = [ids[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
         places = np.flatnonzero(odd).tolist()
         for i, e in zip(places, self._encode([texts[i].as_py() for i in places])):
-            parts[i] = np.array(e, np.int32)
+            parts[i] = np.frombuffer(e, np.int32)
         first = np.cumsum([0, *map(len, parts)])
         return np.concatenate(parts), first
 

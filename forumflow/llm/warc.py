@@ -199,13 +199,13 @@ def page_captures(pages: DataFrame) -> DataFrame:
 
 
 def page_revisits(pages: DataFrame) -> DataFrame:
-    """Every revisit of the pages' captures, its headers as one digest."""
+    """Every revisit of the pages' captures (target -1: none), its headers as one digest."""
     lines = F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"]))
     found = resolve_revisits(page_captures(pages))
     return found.select(
         "record_id",
         "url",
-        "target_id",
+        F.coalesce("target_id", F.lit(-1)).alias("target_id"),
         "verdict",
         F.size(F.coalesce("headers", F.array())).cast("long").alias("n_headers"),
         F.sha2(F.array_join(lines, "\n"), 256).alias("headers_sha256"),
