@@ -122,7 +122,24 @@ select record_id, url, coalesce(target_id, -1) as target_id, verdict, case when
 from merged
 """
 
+CHAT = r"""
+with turn as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+  sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn, role, text))
+    as loss_sha256,
+  sum(length('### ' || role || ': ' || text || '</turn>' || chr(10))
+    + len(regexp_extract_all(text, '\\|###|</turn>|<\|'))
+    + len(regexp_extract_all(role, '\\|###|</turn>|<\||:')))::bigint as formatted_chars
+from turn group by conv_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op5_chat_formatting": CHAT,
     "op4_warc_revisits": REVISITS,
     "op8_ngram_jaccard_join": JACCARD,
     "op10_decontamination": DECONTAMINATION,

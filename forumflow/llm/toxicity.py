@@ -32,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumflow.llm.staging import staged
+from forumflow.llm.staging import batches_of, staged
 
-SAMPLE = 40_000
+SAMPLE = 20_000
 TERMS = 2_000
 # Insults every lexicon begins with, and phrases in which they are none.
 INSULTS = (
@@ -52,6 +52,8 @@ HOMOGLYPHS = {
 SUBSTITUTES = {
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s",
 }
+_BATCH = 4 << 20
+_LEARN_BATCH = 256 << 10  # a text has about ten times its size in terms
 PREFIXES = (3, 4, 5, 6, 7, 8)
 LEAST_GAIN = 18.0  # nats by which a term must beat the share of toxic documents
 LEAST_ODDS = 3.0
@@ -157,7 +159,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each word and word beginning of each document with the word before it, once."""
-    for batch in batches:
+    for batch in batches_of(batches, "text", _LEARN_BATCH):
         terms: list[str] = []
         before: list[int] = []
         marks: list[int] = []
@@ -253,7 +255,7 @@ def _contexts(lexicon: Lexicon):
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = matcher(lexicon)
-        for batch in batches:
+        for batch in batches_of(batches, "text", _BATCH):
             phrases: list[str] = []
             marks: list[int] = []
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
@@ -291,7 +293,7 @@ def measure(docs: DataFrame, keep: list[str], lexicon: Lexicon) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = matcher(lexicon)
-        for batch in batches:
+        for batch in batches_of(batches, "text", _BATCH):
             rows = [find.measure(t.as_py()) for t in batch.column("text")]
             weight = np.array([r[0] for r in rows], float)
             hits = np.array([r[1] for r in rows], np.int64)
