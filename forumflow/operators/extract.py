@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
@@ -150,22 +150,41 @@ def extract_posts(
     return pages.select(*keys, html).mapInPandas(posts, _fields(_POST_FIELDS, keys, pages))
 
 
-def tag_text(html: Column, tag: str) -> Column:
-    """Text right after the first such start tag, NULL when absent or empty; entities stay.
+@dataclass(frozen=True)
+class First:
+    """What to take of a page: the first text of the first rule that finds any, or with
+    ``attribute`` the first of those."""
 
-    For tags without tags inside; stays in the JVM.
-    """
-    return F.nullif(F.regexp_extract(html, f"<{tag}(?:\\s[^>]*)?>([^<]*)", 1), F.lit(""))
+    rules: tuple[Nodes, ...]
+    attribute: str | None = None
+
+    def take(self, tree) -> str | None:
+        if self.attribute is None:
+            return first_of(self.rules, tree)
+        found = (r.first_attribute(tree, self.attribute) for r in self.rules)
+        return next((v for v in found if v is not None), None)
+
+
+def extract_firsts(
+    pages: DataFrame, fields: Mapping[str, First], keys: Sequence[str], html: str = "html"
+) -> DataFrame:
+    """The named fields of each page next to its key columns; NULL where nothing is found."""
+    keys = list(keys)
 
+    def firsts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for *kept, source in batch.itertuples(index=False):
+                tree = parse(source or "")
+                rows.append((*kept, *[f.take(tree) for f in fields.values()]))
+            yield pd.DataFrame(rows, columns=[*keys, *fields])
 
-def tag_texts(html: Column, tag: str) -> Column:
-    """Text right after every such start tag, in document order; entities stay."""
-    return F.regexp_extract_all(html, F.lit(f"<{tag}(?:\\s[^>]*)?>([^<]*)"), F.lit(1))
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
+    return pages.select(*keys, html).mapInPandas(firsts, _fields(schema, keys, pages))
 
 
-def first_link(html: Column) -> Column:
-    """Target of the first link, NULL when there is none."""
-    return F.nullif(F.regexp_extract(html, '<a\\s[^>]*href="([^"]*)"', 1), F.lit(""))
+TITLE = First((Nodes(".//h1"),))
+LINK = First((Nodes(".//a"),), "href")
 
 
 def drop_promoted(cards: DataFrame, label: str = "label") -> DataFrame:

@@ -168,8 +168,9 @@ def settle_posts(rows: DataFrame, posts: DataFrame, batch_id: int) -> DataFrame:
     """Post rows with their final ``reason``, NULL for accepted ones.
 
     ``posts`` is the table after the batch. Rows that can create their post need no lookup;
-    only the others go through the join.
+    only the others go through the join. Of a discussion in parts the first part speaks.
     """
+    rows = rows.filter(F.col("pos_offset") == 0)
     plain = rows.filter(F.col("reason").isNotNull() | F.col("insert_reason").isNull())
     looked_up = (
         rows.filter(F.col("reason").isNull() & F.col("insert_reason").isNotNull())
@@ -183,12 +184,18 @@ def settle_posts(rows: DataFrame, posts: DataFrame, batch_id: int) -> DataFrame:
 
 
 def settle_comments(rows: DataFrame, posts: DataFrame, batch_id: int) -> DataFrame:
-    """Comment rows of accepted items; comments of other items fall with their item."""
+    """Comment rows of accepted items; comments of other items fall with their item.
+
+    Comments of a later part whose post never came are kept with the reason ``post``.
+    """
     plain = rows.filter(~F.col("pending"))
+    exists = F.coalesce(post_existed(batch_id), F.lit(False))
     looked_up = (
         rows.filter(F.col("pending"))
-        .join(_creation_keys(posts), "title")
-        .filter(post_existed(batch_id))
+        .join(_creation_keys(posts), "title", "left")
+        .withColumn("exists", exists)
+        .filter(F.col("exists") | F.col("later"))
+        .withColumn("reason", F.when(F.col("exists"), F.col("reason")).otherwise("post"))
     )
     return plain.unionByName(looked_up.select(*plain.columns))
 

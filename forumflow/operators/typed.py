@@ -28,6 +28,11 @@ def content_id(*keys: str):
     return F.sha2(text, 256)
 
 
+def first_parts(items: DataFrame) -> DataFrame:
+    """One row per item, however many parts its discussion came in."""
+    return items.filter(F.coalesce("pos_offset", F.lit(0)) == 0)
+
+
 def project_posts(items: DataFrame) -> DataFrame:
     """Item fields under the names of the post table, still as displayed."""
     return items.select(
@@ -138,6 +143,7 @@ def flatten_comments(typed: DataFrame, where: Column | None = None) -> DataFrame
     return flat.filter(F.col("index").isNotNull()).select(
         "seq",
         "captured_at",
+        "pos_offset",
         (F.col("pos_offset") + F.col("index")).alias("pos"),
         "community",
         "title",
@@ -153,8 +159,9 @@ def flatten_comments(typed: DataFrame, where: Column | None = None) -> DataFrame
 def type_comments(flat: DataFrame, semantics: Semantics = DEFAULT) -> DataFrame:
     """Typed comment rows; ``reason`` says why a row cannot be stored.
 
-    ``pending`` marks comments whose post could not be created from their own item, so that
-    it takes a look at the post table to tell whether they count.
+    ``pending`` marks comments whose post could not be created from their own row, be it that
+    the item cannot or that this is a later part of it, so that it takes a look at the post table
+    to tell whether they count.
     """
     at = F.col("captured_at")
     typed = flat.withColumns(
@@ -178,9 +185,10 @@ def type_comments(flat: DataFrame, semantics: Semantics = DEFAULT) -> DataFrame:
             "text": fits("text", WIDTH["text"]),
         }
     )
-    pending = F.col("insert_reason").isNotNull()
+    later = F.col("insert_reason").isNull() & (F.col("pos_offset") > 0)
+    pending = F.col("insert_reason").isNotNull() | later
     raw = F.to_json(F.struct("author", "votes_text", "age_text", "paragraphs"))
-    return typed.withColumns({"reason": reason, "pending": pending}).select(
+    return typed.withColumns({"reason": reason, "pending": pending, "later": later}).select(
         "seq",
         "captured_at",
         "pos",
@@ -193,5 +201,6 @@ def type_comments(flat: DataFrame, semantics: Semantics = DEFAULT) -> DataFrame:
         "datetime",
         "reason",
         "pending",
-        F.when(F.col("reason").isNotNull(), raw).alias("raw"),
+        "later",
+        F.when(F.col("reason").isNotNull() | F.col("later"), raw).alias("raw"),
     )

@@ -12,19 +12,22 @@ from forumflow import functions as ff
 from forumflow.operators import marks as mk
 from forumflow.operators import merge, quality
 from forumflow.operators.extract import (
+    LINK,
     POST_LAYOUT,
+    TITLE,
+    First,
     ListingRules,
     PostRules,
     drop_promoted,
     extract_cards,
+    extract_firsts,
     extract_posts,
-    first_link,
     resolve_url,
-    tag_text,
 )
 from forumflow.operators.markup import Nodes
 from forumflow.operators.typed import (
     content_id,
+    first_parts,
     flatten_comments,
     post_rows,
     project_posts,
@@ -115,15 +118,24 @@ def scan_pages(spark, sf_dir):
 
 
 def assemble_items(spark, sf_dir):
+    # One row per comment, and one for an item without any.
     items = conversation_items(table(spark, sf_dir, "conversations"))
+    first = F.col("pos_offset") == 0
     return items.select(
         "seq",
         "community",
         "postTitle",
         "comment_total",
-        F.size("comments").alias("n_comments"),
-        F.array_join("comments.commentUserName", ",").alias("authors"),
-        _digest(F.array_join(F.flatten("comments.commentText"), "\n")).alias("text_digest"),
+        "pos_offset",
+        F.posexplode_outer("comments").alias("index", "comment"),
+    ).filter(first | F.col("index").isNotNull()).select(
+        "seq",
+        "community",
+        "postTitle",
+        "comment_total",
+        (F.col("pos_offset") + F.col("index")).alias("pos"),
+        F.col("comment.commentUserName").alias("author"),
+        _digest(F.array_join("comment.commentText", "\n")).alias("text_digest"),
     )
 
 
@@ -134,14 +146,15 @@ def union_of_communities(spark, sf_dir):
             "from_conversations": conversation_items(table(spark, sf_dir, "conversations")),
         }
     )
-    return items.select("community", "seq", "postTitle", "postUpVotes")
+    return first_parts(items).select("community", "seq", "postTitle", "postUpVotes")
 
 
 def seed_consistency(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
-    link = resolve_url(BASE_URL, first_link(F.col("html")))
+    archive = page_archive(table(spark, sf_dir, "pages")).select("community", "url", "html")
+    pages = extract_firsts(archive, {"href": LINK}, ["community", "url"])
+    link = resolve_url(BASE_URL, F.col("href"))
     seeds = pages.select(
-        F.regexp_extract("html", '<html lang="([^"]*)"', 1).alias("community"),
+        "community",
         F.col("url").alias("start_url"),
         F.concat(
             F.lit("['"), F.col("url"), F.lit("', '"), F.coalesce(link, F.lit("")), F.lit("']")
@@ -164,23 +177,16 @@ def extract_cards_query(spark, sf_dir):
 
 
 def extract_title(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
-        "page_id", tag_text(F.col("html"), "h1").alias("title")
-    )
+    return extract_firsts(table(spark, sf_dir, "pages"), {"title": TITLE}, ["page_id"])
 
 
 def extract_first_link(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
-        "page_id", first_link(F.col("html")).alias("href")
-    )
+    return extract_firsts(table(spark, sf_dir, "pages"), {"href": LINK}, ["page_id"])
 
 
 def extract_fallback(spark, sf_dir):
-    html = F.col("html")
-    closed = F.nullif(F.regexp_extract(html, "<p>([^<]+)</p>", 1), F.lit(""))
-    return table(spark, sf_dir, "pages").select(
-        "page_id", F.coalesce(closed, tag_text(html, "h1")).alias("text")
-    )
+    text = First((Nodes(".//p"), *TITLE.rules))
+    return extract_firsts(table(spark, sf_dir, "pages"), {"text": text}, ["page_id"])
 
 
 def extract_paragraphs(spark, sf_dir):
@@ -237,16 +243,16 @@ def filter_promoted(spark, sf_dir):
 
 
 def resolve_url_query(spark, sf_dir):
-    href = first_link(F.col("html"))
-    return table(spark, sf_dir, "pages").select(
+    pages = extract_firsts(table(spark, sf_dir, "pages"), {"href": LINK}, ["page_id", "url"])
+    return pages.select(
         "page_id",
-        resolve_url(BASE_URL, href).alias("post_url"),
+        resolve_url(BASE_URL, F.col("href")).alias("post_url"),
         resolve_url(BASE_URL, F.col("url")).alias("page_url"),
     )
 
 
 def project_post(spark, sf_dir):
-    items = conversation_items(table(spark, sf_dir, "conversations"))
+    items = first_parts(conversation_items(table(spark, sf_dir, "conversations")))
     return project_posts(items).select(
         "seq", "community", "title", "author", "age_text", "votes_text", "percent_text", "comment_count"
     )
@@ -340,8 +346,9 @@ def word_split(spark, sf_dir):
 
 
 def comment_count(spark, sf_dir):
-    items = conversation_items(table(spark, sf_dir, "conversations"))
-    return items.select("seq", ff.comment_count(F.col("comments")).alias("comment_count"))
+    items = first_parts(conversation_items(table(spark, sf_dir, "conversations")))
+    count = ff.comment_count(F.col("comments"), F.col("comment_total"))
+    return items.select("seq", count.alias("comment_count"))
 
 
 # Lookups

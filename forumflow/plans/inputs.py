@@ -94,7 +94,10 @@ def event_items(rows: DataFrame) -> DataFrame:
     )
 
 
-def conversation_items(rows: DataFrame, part_size: int = 10_000) -> DataFrame:
+PART_SIZE = 10_000  # comments nested in a row; a storage choice that no result depends on
+
+
+def conversation_items(rows: DataFrame, part_size: int | None = None) -> DataFrame:
     """Conversations as captured items: the first turn with all later ones nested in it."""
     captured_at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), (F.col("conv_id") % 100_000).cast("int")
@@ -126,7 +129,8 @@ def conversation_items(rows: DataFrame, part_size: int = 10_000) -> DataFrame:
             F.col("paragraphs").alias("commentText"),
         ).alias("comment"),
     )
-    return conform(assemble_items(posts, comments, ["seq"], part_size=part_size), POST_ITEM)
+    size = part_size or PART_SIZE
+    return conform(assemble_items(posts, comments, ["seq"], part_size=size), POST_ITEM)
 
 
 def page_archive(rows: DataFrame) -> DataFrame:

@@ -162,11 +162,9 @@ ORACLE: dict[str, str] = {
 select page_id as seq, url, regexp_extract(html, '<html lang="([^"]*)"', 1) as community,
     cast(length(html) as integer) as n_chars, sha256(html) as html_digest from pages""",
     "assemble_items": f"""{_TURNS}
-select h.seq, h.community, h.title as "postTitle", h.n as comment_total, h.n as n_comments,
-    coalesce(string_agg(t.author, ',' order by t.turn), '') as authors,
-    sha256(coalesce(string_agg(t.body, chr(10) order by t.turn), '')) as text_digest
-from heads h left join turns t on h.seq = t.seq and t.turn > 0
-group by h.seq, h.community, h.title, h.n""",
+select h.seq, h.community, h.title as "postTitle", h.n as comment_total,
+    cast(t.turn - 1 as bigint) as pos, t.author, sha256(t.body) as text_digest
+from heads h left join turns t on h.seq = t.seq and t.turn > 0""",
     "union_communities": f"""{_TURNS}, shown as (select {_select(EVENT_TEXTS)} from events)
 select 'from_events' as community, seq, title as "postTitle", votes_text as "postUpVotes" from shown
 union all
@@ -187,10 +185,10 @@ select page_id, pos, regexp_extract(card, '>([^<]*)$', 1) as label,
 from (
     select page_id, cast(unnest(generate_series(0, len(found) - 1)) as integer) as pos, unnest(found) as card
     from (select page_id, regexp_extract_all(html, '<li><a href="[^"]*">[^<]*') as found from pages))""",
-    "extract_title": f"select page_id, nullif({_H1}, '') as title from pages",
-    "extract_first_link": f"select page_id, {_HREF} as href from pages",
+    "extract_title": f"select page_id, {_entities(f"nullif({_H1}, '')")} as title from pages",
+    "extract_first_link": f"select page_id, {_entities(_HREF)} as href from pages",
     "extract_fallback": f"""
-select page_id, coalesce(nullif(regexp_extract(html, '<p>([^<]+)</p>', 1), ''), nullif({_H1}, '')) as text
+select page_id, {_entities(f"coalesce(nullif(regexp_extract(html, '<p>([^<]+)', 1), ''), nullif({_H1}, ''))")} as text
 from pages""",
     "extract_paragraphs": f"""
 select page_id, cast(unnest(generate_series(0, len(found) - 1)) as integer) as pos,

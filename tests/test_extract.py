@@ -5,14 +5,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from forumflow.operators.extract import (
+    LINK,
     POST_LAYOUT,
+    TITLE,
     assemble_items,
     drop_promoted,
+    extract_firsts,
     extract_posts,
-    first_link,
     resolve_url,
-    tag_text,
-    tag_texts,
 )
 from forumflow.operators.markup import Nodes, parse, text_nodes
 from forumflow.plans.batch import empty_state, run_staged
@@ -166,15 +166,18 @@ def test_unreadable_page_is_one_empty_record(spark):
     assert [r.postTitle for r in out] == [None, "ok"]
 
 
-def test_columns_for_plain_tags(spark):
-    html = '<nav><a class="x" href="/a">n</a></nav><h1 id="t">T</h1><h10>no</h10><p>1<p></p><p>2'
-    row = spark.createDataFrame([(html,), ("",)], "h string").select(
-        tag_text(F.col("h"), "h1").alias("t"),
-        tag_texts(F.col("h"), "p").alias("p"),
-        first_link(F.col("h")).alias("a"),
-    ).collect()
-    assert (row[0].t, row[0].p, row[0].a) == ("T", ["1", "", "2"], "/a")
-    assert (row[1].t, row[1].p, row[1].a) == (None, [], None)
+def test_first_text_and_link(spark):
+    pages = {
+        "<h1></h1><h1>second</h1>": ("second", None),
+        "<h1><b>x</b>y</h1>": ("y", None),
+        "<H1 id=t>A &amp; B</H1><a name=n>n</a><a href=/x?a=1&amp;b=2>l</a>": ("A & B", "/x?a=1&b=2"),
+        "<!-- <h1>no</h1> --><script>'<h1>no</h1>'</script><h1>yes</h1><A HREF='/q'>": ("yes", "/q"),
+        "<h10>no</h10>": (None, None),
+        "": (None, None),
+    }
+    rows = spark.createDataFrame([(h,) for h in pages], "h string")
+    out = extract_firsts(rows.withColumn("html", F.col("h")), {"t": TITLE, "a": LINK}, ["h"]).collect()
+    assert {r.h: (r.t, r.a) for r in out} == pages
 
 
 def test_promoted_and_urls(spark):
@@ -211,9 +214,18 @@ def test_parts_count_once(spark):
         " array(concat('t', id % 20)) commentText) comment",
     )
     state = empty_state(spark)
+    bad = posts.selectExpr("2L seq", "community", "captured_at", "'B' postTitle", "postUserName",
+                           "postTimeSince", "'many' postUpVotes", "postText")
+    posts = posts.union(bad)
+    comments = comments.union(comments.selectExpr("2L", "pos", "comment"))
     whole = run_staged(assemble_items(posts, comments, ["seq"]), state, AT)
+    assert whole["rejects"].count() == 1
     parts = run_staged(assemble_items(posts, comments, ["seq"], part_size=4), state, AT)
     for name in whole:
         assert sorted(whole[name].collect(), key=str) == sorted(parts[name].collect(), key=str)
     assert parts["post"].first().comment_count == 25
     assert parts["comment"].count() == 20
+    lost = assemble_items(posts, comments, ["seq"], part_size=4).filter("pos_offset > 0")
+    late = run_staged(lost, state, AT)
+    assert late["comment"].count() == late["post"].count() == 0
+    assert [(r.stage, r.reason) for r in late["rejects"].collect()] == [("comment", "post")] * 21

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from forumflow.plans import inputs
+from forumflow.plans.catalog import QUERIES
 
 SF_DIR = os.environ.get("FORUMFLOW_SF_DIR", "/root/testdata/sf0.001")
 
@@ -27,7 +29,7 @@ def normal(value):
     return value
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     rows = contract.queries()[name](spark, SF_DIR)
     columns = sorted(rows.columns)
@@ -46,7 +48,8 @@ def test_types_agree(spark, duck):
     """Integer widths and the like are the same on both sides."""
     kinds = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN",
              "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
-    for name, sql in contract.oracle_sql().items():
+    for name in QUERIES:
+        sql = contract.oracle_sql()[name]
         if name in ("stream_ingest", "stream_upsert", "sink_roundtrip"):
             continue
         spark_types = {f.name: kinds[f.dataType.simpleString()] for f in contract.queries()[name](spark, SF_DIR).schema}
@@ -54,5 +57,18 @@ def test_types_agree(spark, duck):
         assert spark_types == {d[0]: d[1] for d in described}, name
 
 
+PARTED = ["assemble_items", "union_communities", "project_post", "comment_count", "resolve_post_id",
+          "flatten_comments", "conversation_posts", "conversation_comments"]
+
+
+@pytest.mark.parametrize("name", PARTED)
+def test_part_size_changes_nothing(spark, monkeypatch, name):
+    results = []
+    for size in (1, 3, 10_000):
+        monkeypatch.setattr(inputs, "PART_SIZE", size)
+        results.append(sorted(map(tuple, QUERIES[name](spark, SF_DIR).collect()), key=repr))
+    assert results[0] == results[1] == results[2]
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
