@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from forumflow.llm.staging import batches_of, staged
 
-SAMPLE = 20_000
+SAMPLE = 4_000
 TERMS = 2_000
 # Insults every lexicon begins with, and phrases in which they are none.
 INSULTS = (
