@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,16 +19,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_working: list[str] = []
+_tracking = False
+
+
 def staged(rows: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared scratch folder and read again.
 
     This cuts the lineage: executors lost later cost no recomputation of what is written.
     """
     path = scratch_path(rows.sparkSession, name)
+    if _tracking:
+        _working.append(path)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def working_files(spark: SparkSession) -> Iterator[None]:
+    """Around a step whose predecessor's result has been written elsewhere by now.
+
+    What the predecessor staged is deleted; what is staged inside is left to the next such step,
+    as the result may still be read from it.
+    """
+    global _tracking
+    while _working:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_working.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _tracking = True
+    try:
+        yield
+    finally:
+        _tracking = False
+
+
 def batches_of(
     batches: Iterator[pa.RecordBatch], column: str, most_bytes: int
 ) -> Iterator[pa.RecordBatch]:
