@@ -1,7 +1,9 @@
 """A training corpus in five stages, from documents to packed sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns the rows the next one works on; each result
-is written and read again. All stages but the last return the columns of ``documents``.
+is written and read again. All stages but the last return the columns of ``documents``. When a
+stage begins, the working files of the one before are deleted, since its result has been written;
+one pipeline runs in a session at a time.
 """
 
 from __future__ import annotations
@@ -10,34 +12,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from forumflow.llm import decontaminate, jaccard, language_id, packing, quality
-from forumflow.llm.staging import staged, table
+from forumflow.llm.staging import staged, table, working_files
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base limits and are no outliers of their language and source."""
-    return quality.quality_filter(docs)
+    with working_files(spark):
+        return quality.quality_filter(docs)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined."""
-    return language_id.language_filter(docs)
+    with working_files(spark):
+        return language_id.language_filter(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return jaccard.keep_one(docs)
+    with working_files(spark):
+        return jaccard.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    with working_files(spark):
+        return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces with their sequences."""
-    return packing.pack_documents(docs, TOKENIZER, end_id=1)
+    with working_files(spark):
+        return packing.pack_documents(docs, TOKENIZER, end_id=1)
 
 
 STAGES = [
