@@ -49,6 +49,18 @@ def marks(communities: DataFrame, touched: DataFrame, run_started_at: datetime)
     )
 
 
+def oldest(times: DataFrame, run_started_at: datetime) -> DataFrame:
+    """``marks`` of rows that are themselves what a run touched: one aggregation over them."""
+    start = F.lit(run_started_at).cast("timestamp_ntz")
+    width = min(WIDTH["community"], WIDTH["mark_community"])
+    return (
+        times.filter(F.col("community").isNotNull() & fits("community", width))
+        .groupBy("community")
+        .agg(F.min("datetime").alias("oldest"))
+        .select(F.least(start, "oldest").alias("datetime"), "community")
+    )
+
+
 def merge_marks(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """Marks after a run: a community's new mark replaces its old one; others stay."""
     old = stored.select("community", F.col("datetime").alias("old"))

@@ -53,7 +53,7 @@ def run_batch(
     typed = type_posts(items, batch.semantics)
     posts_in = batch.stage("post_rows", post_rows(typed), None)
 
-    communities = mk.batch_communities(posts_in)
+    communities = batch.stage("communities", mk.batch_communities(posts_in), None)
     out = {
         "community": batch.emit(
             "community",
@@ -108,7 +108,7 @@ def run_staged(
 ) -> dict[str, DataFrame]:
     """``run_batch`` over whole state tables, with the intermediates written to scratch.
 
-    The results themselves stay lazy.
+    The results other than posts stay lazy.
     """
     spark = items.sparkSession
     work = scratch_path(spark, "run")
@@ -118,7 +118,11 @@ def run_staged(
         writer.parquet(f"{work}/{name}")
         return spark.read.schema(rows.schema).parquet(f"{work}/{name}")
 
-    batch = Batch(batch_id, run_started_at, semantics, stage)
+    def emit(name: str, rows: DataFrame) -> DataFrame:
+        # Posts are looked up by comments, marks and rejects; the other results are not read again.
+        return stage(name, rows, None) if name == "post" else rows
+
+    batch = Batch(batch_id, run_started_at, semantics, stage, emit)
     return run_batch(items, lambda name, rows: state[name], batch)
 
 

@@ -435,7 +435,7 @@ def merge_marks(spark, sf_dir):
 
     def simple(rows):
         times = rows.select("community", F.col("captured_at").alias("datetime"))
-        return mk.marks(mk.batch_communities(rows), times, RUN_STARTED)
+        return mk.oldest(times, RUN_STARTED)
 
     stored = simple(event_texts(events, "title", "captured_at").withColumnRenamed("title", "community"))
     return mk.merge_marks(stored, simple(rows))

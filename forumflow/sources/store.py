@@ -2,8 +2,9 @@
 
 Every row of a table belongs to one hash bucket of its key. A batch rewrites only the buckets
 its keys fall into, into a folder of its own, and then publishes a manifest that says, per
-bucket, which batch wrote it last. Until the manifest is there readers see the old state, so
-a batch that fails half way leaves nothing behind and can simply run again.
+bucket, which folder holds it. Until the manifest is there readers see the old state, and every
+attempt writes into folders of its own, so a batch that fails half way leaves nothing in the state
+and can simply run again.
 
 There must be one writer at a time.
 """
@@ -11,6 +12,7 @@ There must be one writer at a time.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 from datetime import datetime
 
@@ -78,7 +80,7 @@ class Store:
         """What a version consists of; the empty tables for a new store."""
         version = self.version() if version is None else version
         if version < 0:
-            tables = {name: [-1] * self._buckets[name] for name in STATE}
+            tables = {name: [""] * self._buckets[name] for name in STATE}
             key = list(self.semantics.comment_key)
             return {"comment_key": key, "tables": tables, "rejects": [], "applied": {}}
         text = self.spark.read.text(self._manifest_path(version), wholetext=True).first()[0]
@@ -88,13 +90,20 @@ class Store:
         return f"{self.root}/manifest/{version:012d}.json"
 
     def _publish(self, version: int, manifest: dict) -> None:
-        fs, target = self._fs(), self._path(self._manifest_path(version))
-        draft = self._path(f"{self._manifest_path(version)}.draft")
-        stream = fs.create(draft, True)
-        stream.write(bytearray(json.dumps(manifest).encode()))
+        # Creating without overwriting fails if another writer has published this version.
+        self._write_once(self._manifest_path(version), json.dumps(manifest))
+
+    def _write_once(self, path: str, text: str) -> None:
+        stream = self._fs().create(self._path(path), False)
+        stream.write(bytearray(text.encode()))
         stream.close()
-        if fs.exists(target) or not fs.rename(draft, target):
-            raise RuntimeError(f"version {version} was published by another writer")
+
+    def start_of(self, source: str, epoch: int, now: datetime) -> datetime:
+        """When an epoch was first tried; ``now`` the first time, the same again after a failure."""
+        path = f"{self.root}/starts/{source}/{epoch}"
+        if not self._fs().exists(self._path(path)):
+            self._write_once(path, now.isoformat())
+        return datetime.fromisoformat(self.spark.read.text(path).first()[0])
 
     # Tables.
 
@@ -113,14 +122,14 @@ class Store:
         """Current rows of a table, or of some of its buckets."""
         at = (manifest or self.manifest())["tables"][name]
         buckets = range(len(at)) if buckets is None else buckets
-        paths = [f"{self.root}/{name}/v{at[b]}/bucket={b}" for b in buckets if at[b] >= 0]
+        paths = [f"{self.root}/{name}/{at[b]}/bucket={b}" for b in buckets if at[b]]
         if not paths:
             return self.spark.createDataFrame([], STATE[name])
         return self.spark.read.schema(STATE[name]).parquet(*paths)
 
     def rejects(self) -> DataFrame:
         """Rejected records of all batches."""
-        paths = [f"{self.root}/rejects/v{v}" for v in self.manifest()["rejects"]]
+        paths = [f"{self.root}/rejects/{folder}" for folder in self.manifest()["rejects"]]
         if not paths:
             return self.spark.createDataFrame([], REJECT)
         return self.spark.read.schema(REJECT).parquet(*paths)
@@ -134,12 +143,14 @@ class Store:
     ) -> int:
         """Run one batch and publish it; returns the version.
 
-        A batch that names its ``epoch`` is skipped when the source has already applied it.
+        A batch that names its ``epoch`` is skipped when the source has already applied it. Epochs
+        count from 0 for every source, so each stream checkpoint must be a source of its own.
         """
         old = self.manifest()
         if epoch is not None and epoch <= old["applied"].get(source, -1):
             return self.version()
         version = self.version() + 1
+        folder = f"v{version}-{uuid.uuid4().hex[:12]}"
         work = scratch_path(self.spark, f"batch-{version}")
         new = json.loads(json.dumps(old))
         touched: dict[str, list[int]] = {}
@@ -168,41 +179,48 @@ class Store:
             return co_located(name, self.table(name, old, touched[name]))
 
         def emit(name: str, rows: DataFrame) -> DataFrame:
-            path = f"{self.root}/{name}/v{version}"
+            path = f"{self.root}/{name}/{folder}"
             if name == "rejects":
-                rows.write.mode("overwrite").parquet(path)
-                new["rejects"].append(version)
-                return self.rejects()
+                rows.write.parquet(path)
+                new["rejects"].append(folder)
+                return rows
             if name not in _FOLDS.values():
                 rows = co_located(name, rows)
             bucket = self._bucket(name, len(old["tables"][name]))
-            rows.withColumn("bucket", bucket).write.mode("overwrite").partitionBy(
-                "bucket"
-            ).parquet(path)
-            for folder in self._names(path):
-                if folder.startswith("bucket="):
-                    new["tables"][name][int(folder[7:])] = version
+            rows.withColumn("bucket", bucket).write.partitionBy("bucket").parquet(path)
+            for part in self._names(path):
+                if part.startswith("bucket="):
+                    new["tables"][name][int(part[7:])] = folder
             return self.table(name, new, touched[name])
 
         batch = Batch(version, run_started_at, self.semantics, stage, emit)
-        run_batch(items, stored, batch)
-        if epoch is not None:
-            new["applied"][source] = epoch
-        self._publish(version, new)
-        self._fs().delete(self._path(work), True)
+        try:
+            run_batch(items, stored, batch)
+            if epoch is not None:
+                new["applied"][source] = epoch
+            self._publish(version, new)
+        finally:
+            self._fs().delete(self._path(work), True)
         return version
 
     def expire(self, keep: int = 2) -> None:
-        """Drop what only versions before the last ``keep`` still refer to."""
+        """Drop buckets, folders and manifests that none of the last ``keep`` versions refers to,
+        those of failed attempts among them."""
         last = self.version()
         if last < keep:
             return
         kept = [self.manifest(v) for v in range(last - keep + 1, last + 1)]
         fs = self._fs()
         for name in STATE:
-            live = {v for m in kept for v in m["tables"][name]}
+            live = {(f, b) for m in kept for b, f in enumerate(m["tables"][name]) if f}
             for folder in self._names(f"{self.root}/{name}"):
-                if int(folder[1:]) <= last and int(folder[1:]) not in live:
-                    fs.delete(self._path(f"{self.root}/{name}/{folder}"), True)
-        for version in range(last - keep + 1):
-            fs.delete(self._path(self._manifest_path(version)), False)
+                if int(folder[1:].split("-")[0]) > last:
+                    continue  # a batch that is being applied
+                path = f"{self.root}/{name}/{folder}"
+                buckets = [p for p in self._names(path) if p.startswith("bucket=")]
+                dead = [p for p in buckets if (folder, int(p[7:])) not in live]
+                for p in [path] if len(dead) == len(buckets) else [f"{path}/{p}" for p in dead]:
+                    fs.delete(self._path(p), True)
+        for file in self._names(f"{self.root}/manifest"):
+            if file.endswith(".json") and int(file[:-5]) <= last - keep:
+                fs.delete(self._path(f"{self.root}/manifest/{file}"), False)

@@ -14,10 +14,11 @@ from forumflow.sources.store import Store
 
 
 def read_item_stream(
-    spark: SparkSession, path: str, fmt: str = "json", **options: str
+    spark: SparkSession, path: str, fmt: str = "json", files_per_batch: int = 1000, **options: str
 ) -> DataFrame:
-    """Items as files arrive in a folder."""
-    return spark.readStream.schema(POST_ITEM).format(fmt).options(**options).load(path)
+    """Items as files arrive in a folder, at most ``files_per_batch`` of them at a time."""
+    reader = spark.readStream.schema(POST_ITEM).format(fmt).options(**options)
+    return reader.option("maxFilesPerTrigger", files_per_batch).load(path)
 
 
 def utc_now() -> datetime:
@@ -36,11 +37,14 @@ def stream_upsert(
 
     Without ``every`` it takes what is there and stops, to be started by a schedule; with it
     (such as "3 hours") it runs on. A micro-batch that Spark repeats after a failure is
-    recognised by its epoch and applied once.
+    recognised by its epoch and the id its checkpoint keeps, and is applied once, with the start
+    time of its first attempt. A new checkpoint has a new id, so nothing it reads is skipped.
     """
 
     def apply(rows: DataFrame, epoch: int) -> None:
-        store.apply(rows, clock(), source=name, epoch=epoch)
+        source = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        started = store.start_of(source, epoch, clock())
+        store.apply(rows, started, source=source, epoch=epoch)
 
     writer = items.writeStream.queryName(name).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

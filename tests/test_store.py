@@ -42,15 +42,18 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     assert store.table("post").count() == 200
     assert [r.upvotes for r in store.table("post").filter("title = 't7'").collect()] == [99]
     # One file per bucket: the merge leaves every bucket in one task.
-    folder = tmp_path / "s" / "post" / "v0"
+    [folder] = (tmp_path / "s" / "post").glob("v0-*")
     assert all(len(list(b.glob("*.parquet"))) == 1 for b in folder.glob("bucket=*"))
     store.apply(frame(spark, [item(501, postTitle="t7", postUpVotes="100")]), START)
     store.expire(keep=1)
     assert store.table("post").count() == 200
-    assert not (tmp_path / "s" / "post" / "v1").exists()
+    assert not list((tmp_path / "s" / "post").glob("v1-*"))
+    # Of the first batch's folder only the bucket that others replaced is gone.
+    assert len(list(folder.glob("bucket=*"))) == sum(map(bool, first)) - 1
 
 
-def test_failed_batch_leaves_state_alone(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_failed_batch_leaves_state_alone(spark, tmp_path, monkeypatch, mode):
     store = Store(spark, str(tmp_path / "s"), BUCKETS)
     store.apply(frame(spark, [item(1)]), START)
 
@@ -62,8 +65,16 @@ def test_failed_batch_leaves_state_alone(spark, tmp_path, monkeypatch):
         store.apply(frame(spark, [item(2, postTitle="U")]), START)
     assert [r.title for r in store.table("post").collect()] == ["T"]
     monkeypatch.undo()
-    store.apply(frame(spark, [item(2, postTitle="U")]), START)
-    assert {r.title for r in store.table("post").collect()} == {"T", "U"}
+    # Nothing of the failed batch gets in with the next one, whatever the overwrite mode.
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        store.apply(frame(spark, [item(3, postTitle="V")]), START)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert {r.title for r in store.table("post").collect()} == {"T", "V"}
+    store.apply(frame(spark, [item(4, postTitle="W")]), START)
+    store.expire(keep=1)
+    assert {r.title for r in store.table("post").collect()} == {"T", "V", "W"}
 
 
 def test_empty_batch_and_new_store(spark, tmp_path):
@@ -100,10 +111,31 @@ def test_stream_equals_batches_and_replay_changes_nothing(spark, tmp_path):
         model.run(part, START + dt.timedelta(days=9))
     compare(outputs(store), model)
     before = store.version()
-    assert store.apply(frame(spark, parts[2]), START, source="items", epoch=2) == before
+    [source] = store.manifest()["applied"]
+    assert store.apply(frame(spark, parts[2]), START, source=source, epoch=2) == before
     compare(outputs(store), model)
 
 
+def test_new_checkpoint_skips_nothing(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    store = Store(spark, str(tmp_path / "s"), BUCKETS)
+    for n in range(2):
+        for k in range(2):
+            rows = frame(spark, [item(10 * n + k, postTitle=f"t{n}{k}")])
+            rows.coalesce(1).write.mode("append").json(str(inbox / str(n)))
+        stream = read_item_stream(spark, str(inbox / str(n)), files_per_batch=1)
+        stream_upsert(stream, store, str(tmp_path / f"cp{n}"), "same name").awaitTermination()
+    assert store.version() == 3  # two micro-batches each
+    assert {r.title for r in store.table("post").collect()} == {"t00", "t01", "t10", "t11"}
+
+
+def test_start_of_a_repeated_epoch(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"), BUCKETS)
+    assert store.start_of("q", 0, START) == START
+    assert store.start_of("q", 0, START + dt.timedelta(days=1)) == START
+    assert store.start_of("q", 1, START + dt.timedelta(days=1)) == START + dt.timedelta(days=1)
+
+
 def test_running_counters_equal_the_batch(spark, tmp_path):
     items = random_items(random.Random(4), 120)
     for n in range(3):
