@@ -122,6 +122,94 @@ select record_id, url, coalesce(target_id, -1) as target_id, verdict, case when
 from merged
 """
 
+
+
+def _quality() -> str:
+    """Base statistics, then the robust estimates step by step; all sizes are written out."""
+    floors = (0.25, 0.15, 0.35, 0.35)
+    factor = 1.4864156071332657  # 3/4 over P(chi2 with 6 degrees < the 3/4 quantile of one with 4)
+    places = [(i, j) for i in range(4) for j in range(i + 1)]
+    names = [f"m{i}" for i in range(4)] + [f"l{i}{j}" for i, j in places]
+    ys = []
+    for i in range(4):
+        rest = "".join(f" - {{e}}l{i}{k} * y{k}" for k in range(i))
+        ys.append(f"(x{i} / 256.0 - {{e}}m{i}{rest}) / {{e}}l{i}{i} as y{i}")
+    distance = "y0 * y0 + y1 * y1 + y2 * y2 + y3 * y3"
+    chol = [f"s{i} / s / 256 as m{i}" for i in range(4)]
+    for i, j in places:
+        cov = f"(q{i}{j} / s / 65536 - m{i} * m{j})"
+        rest = "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
+        if i == j:
+            square = floors[i] ** 2
+            cov = f"greatest({cov}, 0.0) * {factor!r} + {square!r}{rest}"
+            chol.append(f"sqrt(greatest({cov}, {square!r})) as l{i}{i}")
+        else:
+            chol.append(f"({cov} * {factor!r}{rest}) / l{j}{j} as l{i}{j}")
+    parts = [f"s{i}" for i in range(4)] + [f"q{i}{j}" for i, j in places]
+    sums = [f"sum(x{i}::double) as s{i}" for i in range(4)]
+    sums += [f"sum(x{i}::double * x{j}::double) as q{i}{j}" for i, j in places]
+    seen = "sum(n) over (partition by {by} order by bin rows unbounded preceding) - n < {share} * sum(n) over (partition by {by})"
+    same = "v.level = e.level and v.a is not distinct from e.a and v.b is not distinct from e.b"
+    medians = ", ".join(f"(max(bin) filter (i = {i}) + 0.5) / 8 as m{i}" for i in range(4))
+    scales = ", ".join(f"{4 * floors[i] if i == j else 0.0!r}::double as l{i}{j}" for i, j in places)
+    steps = ""
+    for k in range(1, 5):
+        steps += f""",
+bins{k} as (
+  select level, a, b, least(floor(ln(1 + {distance}) * 128), 4095)::bigint as bin, count(*) as n, {", ".join(sums)}
+  from (select v.*, {", ".join(y.format(e="e.") for y in ys)} from vec v join est{k - 1} e on {same})
+  group by all),
+kept{k} as (select * from bins{k} qualify {seen.format(by="level, a, b", share=0.75)}),
+est{k} as (
+  select level, a, b, {", ".join(chol)}
+  from (
+    select level, a, b, sum(n)::double as s, {", ".join(f"sum({c}) as {c}" for c in parts)}
+    from kept{k} group by level, a, b))"""
+    best = ", ".join(f"coalesce(e0.{c}, e1.{c}, e2.{c}) as {c}" for c in names)
+    return rf"""
+with doc as (
+  select row_number() over () as rn, doc_id, lang, source, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (
+  select rn, i, count(*) over (partition by rn, w[i], w[i + 1], w[i + 2]) as n
+  from doc, unnest(generate_series(1, len(w) - 2)) as s(i)),
+rep as (
+  select rn, count(distinct i + k) as n from win, unnest([0, 1, 2]) as s(k) where n > 1 group by rn),
+line as (
+  select rn, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from doc),
+stat as (
+  select doc_id, lang, source, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+    (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, coalesce(rep.n, 0)::bigint as n_repeat_words
+  from doc join line using (rn) left join rep using (rn)),
+feat as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    greatest(n_words, 1)::double as n, greatest(word_chars, 1)::double as c,
+    round(ln(n) * 256)::bigint as x0, round(ln(c / n) * 2 * 256)::bigint as x1,
+    round(ln(1 + 200 * n_symbols / c) * 256)::bigint as x2,
+    round(ln(1 + 20 * n_repeat_words / n + n_dup_lines / 4) * 256)::bigint as x3 from stat),
+vec as (
+  select 0 as level, lang as a, source as b, x0, x1, x2, x3 from feat where not base_failed
+  union all select 1, lang, null, x0, x1, x2, x3 from feat where not base_failed
+  union all select 2, null, null, x0, x1, x2, x3 from feat where not base_failed),
+bins0 as (
+  select level, a, b, i, floor(x / 32)::bigint as bin, count(*) as n
+  from (select level, a, b, unnest([0, 1, 2, 3]) as i, unnest([x0, x1, x2, x3]) as x from vec) group by all),
+kept0 as (
+  select *, sum(n) over (partition by level, a, b, i) as total from bins0
+  qualify {seen.format(by="level, a, b, i", share=0.5)}),
+est0 as (
+  select level, a, b, {medians}, {scales} from kept0 group by level, a, b having max(total) >= 30){steps}
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and coalesce({distance} <= 36, true) as kept
+from (select *, {", ".join(y.format(e="") for y in ys)} from (
+  select f.*, {best} from feat f
+    left join est4 e0 on e0.level = 0 and e0.a is not distinct from f.lang and e0.b is not distinct from f.source
+    left join est4 e1 on e1.level = 1 and e1.a is not distinct from f.lang
+    left join est4 e2 on e2.level = 2))
+"""
+
+
 CHAT = r"""
 with turn as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -142,5 +230,6 @@ ORACLE: dict[str, str] = {
     "op5_chat_formatting": CHAT,
     "op4_warc_revisits": REVISITS,
     "op8_ngram_jaccard_join": JACCARD,
+    "op9_quality_rules": _quality(),
     "op10_decontamination": DECONTAMINATION,
 }

@@ -347,7 +347,7 @@ def document_quality(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         with_stats(docs).select("doc_id", "lang", "source", "stats"), "quality-stats"
     )
     return verdicts(measured, rules=rules).select(
-        "doc_id", *[F.col(f"stats.{s}").alias(s) for s in STATS], "base_failed", "kept", "distance"
+        "doc_id", *[F.col(f"stats.{s}").alias(s) for s in STATS], "base_failed", "kept"
     )
 
 
