@@ -226,7 +226,22 @@ select conv_id, count(*) as n_turns,
 from turn group by conv_id
 """
 
+# What the pages of the tables hold, by their own layout: the blocks of their one article.
+PAGE_TEXT = r"""
+with block as (
+  select page_id, url, list_transform(
+    regexp_split_to_array(coalesce(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), ''), '</?(?:p|h1)[^>]*>'),
+    lambda x: regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '<[^>]*>', '', 'g')) as raw from pages),
+text as (
+  select page_id, url, array_to_string(list_filter(list_transform(raw, lambda x: trim(regexp_replace(
+    replace(replace(replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'),
+      '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) as text
+  from block)
+select page_id, url, text, length(text)::bigint as n_chars from text
+"""
+
 ORACLE: dict[str, str] = {
+    "op7_html_extraction": PAGE_TEXT,
     "op5_chat_formatting": CHAT,
     "op4_warc_revisits": REVISITS,
     "op8_ngram_jaccard_join": JACCARD,
