@@ -419,9 +419,13 @@ def upsert_comments(spark, sf_dir):
 
 
 def post_mark(spark, sf_dir):
-    items = event_items(table(spark, sf_dir, "events"))
-    rows = post_rows(type_posts(items))
-    touched = mk.touched_posts(rows, _posts(spark, items), BATCH)
+    # Typed once and written, as the fold, the touched posts and the communities all read it.
+    typed = post_rows(type_posts(event_items(table(spark, sf_dir, "events"))))
+    path = scratch_path(spark, "post-rows")
+    typed.write.parquet(path)
+    rows = spark.read.schema(typed.schema).parquet(path)
+    posts = merge.upsert_posts(merge.fold_posts(rows), empty_state(spark)["post"], BATCH)
+    touched = mk.touched_posts(rows, posts, BATCH)
     return mk.marks(mk.batch_communities(rows), touched, RUN_STARTED)
 
 
