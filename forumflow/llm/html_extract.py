@@ -104,9 +104,24 @@ class Page:
     linked: list[int]  # those of them within links
     label: list[int]  # data-label, where a training page has one
     within: list[bool]  # below an article
+    place: list[str]  # where it lies against the page's article, or its main element
     text: list[tuple[int, str]]  # (node, text), or (-1, "") where a block begins or ends
 
-    def features(self, i: int) -> tuple[str, str, str, str]:
+    def find_places(self) -> None:
+        """``in`` the article, ``over`` it, ``out`` of it, or ``none`` if the page has none."""
+        anchors = [i for i, t in enumerate(self.tag) if t == "article"]
+        anchors = anchors or [i for i, t in enumerate(self.tag) if t == "main"]
+        self.place = ["out" if anchors else "none"] * len(self.tag)
+        for i in anchors:
+            self.place[i] = "in"
+        for i in range(1, len(self.tag)):
+            if self.place[self.parent[i]] == "in":
+                self.place[i] = "in"
+        for i in anchors:
+            while (i := self.parent[i]) >= 0 and self.place[i] == "out":
+                self.place[i] = "over"
+
+    def features(self, i: int) -> tuple[str, ...]:
         size = self.size[i]
         length = 0 if not size else 1 + sum(size >= limit for limit in (20, 60, 150, 500))
         share = self.linked[i] / size if size else 0
@@ -116,7 +131,7 @@ class Page:
             tag = "inline"
         if tag == "header" and self.within[i]:
             tag = "header of an article"
-        return f"tag {tag}", f"hint {self.hint[i]}", f"size {length}", f"links {links}"
+        return f"tag {tag}", f"hint {self.hint[i]}", f"size {length}", f"links {links}", f"place {self.place[i]}"
 
 
 def read_page(html: str) -> Page:
@@ -125,7 +140,7 @@ def read_page(html: str) -> Page:
         root = parse(html)
     except AssertionError:  # an unknown marked section; take it as text
         root = parse(html.replace("<![", "&lt;!["))
-    page = Page([-1], ["html"], ["none"], [0], [0], [1], [False], [])
+    page = Page([-1], ["html"], ["none"], [0], [0], [1], [False], [], [])
     # Entries are (element, node, in a link) on the way in and (node,) on the way out.
     stack: list = [(root, 0, False, True)]
 
@@ -173,6 +188,7 @@ def read_page(html: str) -> Page:
     for i in range(len(page.parent) - 1, 0, -1):
         page.size[page.parent[i]] += page.size[i]
         page.linked[page.parent[i]] += page.linked[i]
+    page.find_places()
     return page
 
 
@@ -277,7 +293,7 @@ def labelled_page(seed: int) -> str:
     def comments() -> str:
         one = lambda: el("div", 0, el("p", 0, _words(r, 3, 70)), "reader", 0.9)
         tag = r.choice(["div", "section", "aside", "ol"])
-        return el(tag, 0, el("h3", 0, "Comments") + "".join(one() for _ in range(r.randint(1, 5))), "reader", 1.0)
+        return el(tag, 0, el(r.choice(["h2", "h3", "h4"]), 0, "Comments") + "".join(one() for _ in range(r.randint(1, 5))), "reader", 1.0)
 
     def form() -> str:
         return el("form", 0, _words(r, 1, 8) + el("p", 0, "<label>Name</label>" + _words(r, 1, 6)), "form", 0.5)
@@ -291,14 +307,15 @@ def labelled_page(seed: int) -> str:
         return el("p", 1, body)
 
     def story() -> str:
+        wrap = r.choice(["article", "article", "main", "div", "section"])
         parts = [el("h1", 1, _words(r, 2, 14))]
-        if r.random() < 0.15:
-            parts = [el("article", 1, el("header", 1, parts[0]))]
+        if wrap == "article" and r.random() < 0.3:
+            parts = [el("header", 1, parts[0])]
         for _ in range(r.randint(1, 14)):
             x = r.random()
-            if x < 0.8:
+            if x < 0.74:
                 parts.append(paragraph())
-            elif x < 0.86:
+            elif x < 0.8:
                 parts.append(el(r.choice(["h2", "h3", "h4"]), 1, _words(r, 1, 6)))
             elif x < 0.9:
                 items = "".join(el("li", 1, _words(r, 2, 25)) for _ in range(r.randint(2, 6)))
@@ -315,7 +332,6 @@ def labelled_page(seed: int) -> str:
         if r.random() < 0.2:
             parts.append(comments())
         body = "".join(parts)
-        wrap = r.choice(["article", "article", "main", "div", "section"])
         return el(wrap, 1, body, "content", 0.6 if wrap != "div" else 1.0)
 
     top = [links("nav", "menu", 0.4) if r.random() < 0.8 else links("div", "menu", 1.0)]
@@ -326,7 +342,7 @@ def labelled_page(seed: int) -> str:
         top.append(small(r.choice(["advert", "notice", "page", "hidden"])))
     bottom = [el("footer", 0, r.choice([_words(r, 2, 30), el("p", 0, _words(r, 2, 20))]), "page", 0.4)]
     if r.random() < 0.5:
-        bottom.insert(0, el(r.choice(["aside", "div"]), 0, el("h3", 0, _words(r, 1, 3)) + links("div", "side", 0.4), "side", 1.0))
+        bottom.insert(0, el(r.choice(["aside", "div"]), 0, el(r.choice(["h2", "h3", "h4"]), 0, _words(r, 1, 3)) + links("div", "side", 0.4), "side", 1.0))
     if r.random() < 0.3:
         bottom.insert(0, comments())
     if r.random() < 0.3:
