@@ -355,13 +355,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group, the one of least doc_id, with its own columns."""
     rows = numbered(docs, ["doc", "doc_id", "text"], "jaccard-docs")
-    found = links(rows.select("row", "text"))
+    found = staged(links(rows.select("row", "text")), "jaccard-found")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    kept = (
+    firsts = (
         rows.select("row", "doc_id")
         .join(found, "row")
         .groupBy("root")
         .agg(F.min(order).alias("first"))
         .select("first.row")
     )
-    return rows.join(staged(kept, "jaccard-kept"), "row", "left_semi").select("doc.*")
+    # Fewer documents go than stay, so the removed rows are the side to join with.
+    removed = staged(found.select("row").join(firsts, "row", "left_anti"), "jaccard-removed")
+    return rows.join(removed, "row", "left_anti").select("doc.*")
