@@ -140,6 +140,24 @@ def test_language_posterior_is_bayes(spark):
     assert found[3].language == "und"
 
 
+def test_every_declared_language_is_modelled(spark):
+    """70 languages of their own letters, and a text whose trigrams none has."""
+    r = random.Random(11)
+    names = [f"l{i:02d}" for i in range(70)]
+    rows = []
+    for i, name in enumerate(names):
+        letters = "".join(chr(0x4E00 + 40 * i + k) for k in range(8))
+        for _ in range(3 if i < 64 else 2):
+            rows.append((len(rows), " ".join("".join(r.choices(letters, k=4)) for _ in range(30)), name, None))
+    # a hundred syllables that occur nowhere else
+    rows.append((1000, "".join(chr(0xAC00 + 97 * k) for k in range(100)), None, None))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    found = {d.doc_id: d for d in language_id.document_languages(table).collect()}
+    assert all(found[i].language == lang and found[i].kept for i, _, lang, _ in rows[:-1])
+    assert not found[1000].kept
+    assert {d.doc_id for d in language_id.language_filter(table).collect()} == set(range(len(rows) - 1))
+
+
 def test_toxicity(spark, docs, none):
     clean = [(i, prose(80)) for i in range(300)]
     rude = ["you IDIOT", "such a m0r0n there", "what а ѕtupid thing", "ｌｏｓｅｒ", "go in the trash can"]
