@@ -7,8 +7,10 @@ exception phrases. A hit inside an exception phrase does not count. The weights
 set against the number of words, and turned into a score by a logistic function.
 
 The lexicon starts from a short fixed list. More terms, their weights, the exceptions and the
-function's coefficients are learned from a sample of labelled documents, at most ``SAMPLE`` of
-them; the lexicon has at most ``TERMS`` terms. Both bounds are parameters of the model alone:
+function's coefficients are learned from a sample of distinct labelled texts, at most ``SAMPLE`` of
+them: all toxic ones up to half the sample, clean ones for the rest, and toxic ones again if the clean
+ones do not fill it. The function's constant is set back to the shares before sampling. The lexicon has
+at most ``TERMS`` terms. Both bounds are parameters of the model alone:
 every whole text is scored.
 
 Defined results: null and empty texts have no hits; documents that occur twice are scored twice; a
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from forumflow.llm.staging import batches_of, staged
 
-SAMPLE = 4_000
+SAMPLE = 20_000
 TERMS = 2_000
 # Insults every lexicon begins with, and phrases in which they are none.
 INSULTS = (
@@ -53,7 +55,8 @@ SUBSTITUTES = {
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s",
 }
 _BATCH = 4 << 20
-_LEARN_BATCH = 256 << 10  # a text has about ten times its size in terms
+_LEARN_BATCH = 256 << 10
+_HELD = 200_000  # pairs of words a task holds while learning
 PREFIXES = (3, 4, 5, 6, 7, 8)
 LEAST_GAIN = 18.0  # nats by which a term must beat the share of toxic documents
 LEAST_ODDS = 3.0
@@ -158,25 +161,44 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each word and word beginning of each document with the word before it, once."""
+    """Each word and word beginning with the codes of the words before it, by label.
+
+    A task puts together what it has seen, so a term seldom comes twice, and each word before it is
+    four bytes.
+    """
+    seen: dict[tuple[str, int], set[int]] = {}
+    held = 0
+
+    def emit() -> pa.RecordBatch:
+        terms: dict[tuple[str, int], set[int]] = {}
+        for (word, toxic), before in seen.items():
+            for term in [f" {word} ", *[f" {word[:n]}" for n in PREFIXES if len(word) >= n]]:
+                terms.setdefault((term, toxic), set()).update(before)
+        sizes = np.cumsum([0, *map(len, terms.values())])
+        flat = np.fromiter((c for before in terms.values() for c in before), np.uint32, sizes[-1])
+        return pa.record_batch(
+            [
+                pa.array([t for t, _ in terms], pa.string()),
+                pa.array([x for _, x in terms], pa.int32()),
+                pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat.view(np.int32))),
+            ],
+            ["term", "toxic", "before"],
+        )
+
     for batch in batches_of(batches, "text", _LEARN_BATCH):
-        terms: list[str] = []
-        before: list[int] = []
-        marks: list[int] = []
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             words = fold(text or "").split()
-            own = set()
             for last, word in zip(["", *words], words):
-                code = zlib.crc32(last.encode())
-                own.add((f" {word} ", code))
-                own.update((f" {word[:n]}", code) for n in PREFIXES if len(word) >= n)
-            terms.extend(t for t, _ in own)
-            before.extend(c for _, c in own)
-            marks.extend([toxic] * len(own))
-        yield pa.record_batch(
-            [pa.array(terms, pa.string()), pa.array(before, pa.int64()), pa.array(marks, pa.int32())],
-            ["term", "before", "toxic"],
-        )
+                own = seen.setdefault((word, toxic), set())
+                size = len(own)
+                own.add(zlib.crc32(last.encode()))
+                held += len(own) - size
+        if held >= _HELD:
+            yield emit()
+            seen.clear()
+            held = 0
+    if seen:
+        yield emit()
 
 
 def _gain(n: Column, k: Column, share: float) -> Column:
@@ -189,27 +211,24 @@ def _gain(n: Column, k: Column, share: float) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     """A lexicon from labelled documents that are not held out."""
-    marked = (
-        labels.filter(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample)
-    )
-    known = staged(docs.select("doc_id", "text").join(marked, "doc_id").select("text", "toxic"), "toxic-sample")
-    totals = known.groupBy("toxic").count().collect()
-    number = {r["toxic"]: r["count"] for r in totals}
+    known, number, every = _sample(docs, labels, sample)
     toxic, clean = number.get(1, 0), number.get(0, 0)
     if not toxic or not clean:
         return BASE
     share = toxic / (toxic + clean)
     n, k = F.col("n").cast("double"), F.col("k").cast("double")
     odds = F.log((k + 0.5) / (toxic + 1)) - F.log((n - k + 0.5) / (clean + 1))
+
+    def distinct(toxic: int) -> Column:
+        # The same words around a term are one piece of evidence, however many copies.
+        lists = F.collect_list(F.when(F.col("toxic") == toxic, F.col("before")))
+        return F.size(F.array_distinct(F.flatten(lists))).cast("long")
+
     found = (
-        known.mapInArrow(_terms, "term string, before bigint, toxic int")
-        .distinct()  # the same words around a term are one piece of evidence, however many copies
+        known.mapInArrow(_terms, "term string, toxic int, before array<int>")
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k"))
+        .agg(distinct(0).alias("rest"), distinct(1).alias("k"))
+        .withColumn("n", F.col("rest") + F.col("k"))
         .select("term", "k", odds.alias("odds"), _gain(n, k, share).alias("gain"))
         .filter((F.col("odds") >= LEAST_ODDS) & (F.col("gain") >= LEAST_GAIN))
         .orderBy(F.desc("gain"), "term")
@@ -247,7 +266,42 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     )
     table = measured.toPandas()  # at most ``sample`` rows of three numbers
     x = values(table["weight"].to_numpy(), table["n_words"].to_numpy())
-    return Lexicon(dict(best), exceptions, tuple(_logistic(x, table["toxic"].to_numpy())))
+    first, *rest = _logistic(x, table["toxic"].to_numpy())
+    first += math.log(every[1] / every[0]) - math.log(toxic / clean)
+    return Lexicon(dict(best), exceptions, (first, *rest))
+
+
+def _sample(
+    docs: DataFrame, labels: DataFrame, sample: int
+) -> tuple[DataFrame, dict[int, int], dict[int, int]]:
+    """Distinct texts with labels, written; how many of each label; and how many there are at all."""
+    marked = (
+        labels.filter(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+        .groupBy("doc_id")
+        .agg((F.max("toxic").cast("int") > 0).cast("int").alias("toxic"))
+    )
+    # Texts are told apart by their hashes, so that only the sample's own are moved.
+    code = F.xxhash64("text", F.lit(1)).alias("code")
+    texts = staged(
+        docs.select("doc_id", code)
+        .join(marked, "doc_id")
+        .groupBy("code", "toxic")
+        .agg(F.min("doc_id").alias("doc_id")),
+        "toxic-labelled",
+    )
+    every = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    half = sample // 2
+    toxic = min(every.get(1, 0), max(half, sample - every.get(0, 0)))
+    sizes = {1: toxic, 0: min(every.get(0, 0), sample - toxic)}
+    # At most ``sample`` rows of three numbers in all, whatever the documents.
+    parts = [
+        texts.filter(F.col("toxic") == mark).orderBy("code", "doc_id").limit(size)
+        for mark, size in sizes.items()
+    ]
+    picked = F.broadcast(parts[0].unionByName(parts[1]))
+    rows = docs.select("doc_id", "text", code).join(picked, ["doc_id", "code"])
+    known = staged(rows.dropDuplicates(["code", "toxic"]).select("text", "toxic"), "toxic-sample")
+    return known, sizes, every
 
 
 def _contexts(lexicon: Lexicon):

@@ -179,6 +179,47 @@ def test_toxicity(spark, docs, none):
     assert toxicity.score_documents(none, empty).count() == 0
 
 
+def test_toxicity_learns_from_rare_labels(spark):
+    """Under one percent of the labels are toxic, and many clean texts are copies."""
+    r = random.Random(13)
+    clean = [(i, prose(20, r)) for i in range(3000)] + [(10_000 + i, BASE) for i in range(3000)]
+    rude = [(20_000 + i, prose(15, r) + f" zorg{r.choice(SYLLABLES)} " + prose(15, r)) for i in range(50)]
+    table = spark.createDataFrame(clean + rude, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i >= 20_000)) for i, _ in clean + rude], "doc_id bigint, toxic int")
+    known, number, every = toxicity._sample(table, labels, 400)
+    texts = {i: t for i, t in clean + rude if zlib.crc32(str(i).encode()) % 3 != 1}
+    toxic = {t for i, t in texts.items() if i >= 20_000}
+    got = [(d.text, d.toxic) for d in known.collect()]
+    assert {t for t, x in got if x} == toxic and number == {1: len(toxic), 0: 400 - len(toxic)}
+    assert every == {1: len(toxic), 0: len(set(texts.values()) - toxic)} and len(set(got)) == len(got) == 400
+    lexicon = toxicity.learn(table, labels, sample=400)
+    assert any(term.startswith(" zor") for term in lexicon.weights)
+    scored = toxicity.measure(table, ["doc_id"], lexicon).collect()
+    assert sum(d.score >= 0.7 for d in scored if d.doc_id >= 20_000) >= 48
+    assert not any(d.score >= 0.7 for d in scored if d.doc_id < 20_000)
+
+
+def test_terms_of_many_pieces(spark, monkeypatch):
+    """Terms are counted once per word before them, in however many pieces a task gives them."""
+    texts = [("ab xyzw ab xyzw q xyz", 1), ("q xyz q xyzw", 0), ("q xyzw r xyzw", 1)]
+    import pyarrow as pa
+
+    want = collections.defaultdict(set)
+    for text, toxic in texts:
+        words = text.split()
+        for last, word in zip(["", *words], words):
+            for term in {f" {word} ", *[f" {word[:n]}" for n in toxicity.PREFIXES if len(word) >= n]}:
+                want[term, toxic].add(zlib.crc32(last.encode()))
+    batch = pa.RecordBatch.from_pydict({"text": [t for t, _ in texts], "toxic": [x for _, x in texts]})
+    for held in (1, 200_000):
+        monkeypatch.setattr(toxicity, "_HELD", held)
+        got = collections.defaultdict(set)
+        for part in toxicity._terms(iter([batch.slice(i, 1) for i in range(3)])):
+            for row in part.to_pylist():
+                got[row["term"], row["toxic"]].update(c % 2**32 for c in row["before"])
+        assert got == want
+
+
 def brute_jaccard(rows):
     sets = []
     for _, text, *_ in rows:
