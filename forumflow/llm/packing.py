@@ -121,7 +121,7 @@ def _pack_parts(items: DataFrame, capacity: int, salt: int) -> DataFrame:
     return items.select("item", "length", part).groupBy("part").applyInPandas(pack, _PACKED)
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, rounds: int = 4) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(item, sequence_id, offset) of every row of a written table (item, length)."""
     rest = items.filter(F.col("length") < capacity)
     found = rest.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -131,22 +131,24 @@ def pack(items: DataFrame, capacity: int = CAPACITY, rounds: int = 4) -> DataFra
     bound = lower_bound(counts, capacity)
     open_ = F.col("offset") == 0  # one row of each bin
     now = staged(_pack_parts(rest, capacity, 0).withColumn("round", F.lit(0)), "packing-round")
-    for k in range(1, rounds + 1):
-        total = now.filter(open_).count()
-        if total <= bound:
-            break
+    total, k = now.filter(open_).count(), 0
+    while total > bound:
+        k += 1
         gives = (F.col("bins") > F.col("bound")) | (F.col("free") > 0)
         pool = now.filter(gives)
         again = staged(
             _pack_parts(pool.select("item", "length"), capacity, k).withColumn("round", F.lit(k)),
             "packing-again",
         )
-        if again.filter(open_).count() >= pool.filter(open_).count():
+        gain = pool.filter(open_).count() - again.filter(open_).count()
+        if gain <= 0:
             break
+        total -= gain  # so the rounds come to an end
         now = staged(now.filter(~gives).unionByName(again), "packing-round")
+    # 15 bits for the round, 24 for the partition and 24 for the bin in it
     sequence = (
-        F.shiftleft(F.col("round").cast("long"), 58)
-        .bitwiseOR(F.shiftleft("part", 32))
+        F.shiftleft(F.col("round").cast("long"), 48)
+        .bitwiseOR(F.shiftleft("part", 24))
         .bitwiseOR(F.col("bin"))
     )
     whole = items.filter(F.col("length") == capacity).select(

@@ -318,6 +318,20 @@ def test_packing_rounds(spark, monkeypatch):
     assert found["sequence_id"].nunique() <= -(-sum(lengths) // 100) + 1
 
 
+def test_packing_rounds_go_on_while_they_gain(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PER_PARTITION", 8)
+    deal, salts = packing._pack_parts, []
+    monkeypatch.setattr(packing, "_pack_parts", lambda i, c, salt: salts.append(salt) or deal(i, c, salt))
+    r = random.Random(4)
+    lengths = [r.randint(5, 40) for _ in range(1500)]
+    items = spark.createDataFrame(list(enumerate(lengths)), "item bigint, length bigint")
+    found = packing.pack(items, 100).toPandas()
+    assert sorted(found["item"]) == list(range(1500)) and (found["sequence_id"] >= 0).all()
+    sizes = found.assign(length=[lengths[i] for i in found["item"]]).groupby("sequence_id")["length"].sum()
+    assert sizes.max() <= 100
+    assert salts == list(range(len(salts))) and len(salts) > 5  # rounds 1 to 4 all gained
+
+
 @pytest.fixture(scope="module")
 def encoded(docs):
     from tokenizers import Tokenizer
