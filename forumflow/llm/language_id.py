@@ -19,7 +19,8 @@ always comes nearest to a text of none.
 
 Defined results: a text without letters has no text evidence and is undetermined ("und") and
 rejected, null and empty texts among them; a null declaration or address is a value of its own that
-weighs what it weighs elsewhere; equal rows are results of their own; with no rows there are none.
+weighs what it weighs elsewhere; if no row declares a language, none can be modelled, and texts with
+letters are undetermined ("und", posterior 0) but accepted; equal rows are results of their own; with no rows there are none.
 """
 
 from __future__ import annotations
@@ -108,6 +109,8 @@ class Model:
 
 def fit(rows: DataFrame, sizes: dict[str, int], sample: int = SAMPLE) -> Model:
     """The trigrams of every language, numbered as in ``sizes``."""
+    if not sizes:
+        return Model(np.zeros(1, np.int64), np.empty(0, np.uint16), np.empty(0, np.float32), np.empty(0))
     # An even part of each language, found by a hash of the row; about ``sample`` rows of each.
     large = [x for language, n in sizes.items() if n > sample for x in (language, sample / n)]
     share = F.lit(1.0)
@@ -245,7 +248,7 @@ def fuse(measured: DataFrame, known: Sequence[str]) -> DataFrame:
             F.lit("und").alias("text_language"),
             F.lit("und").alias("language"),
             F.lit(0.0).alias("posterior"),
-            F.lit(False).alias("accepted"),
+            (F.col("letters") > 0).alias("accepted"),
         )
     labels = F.split(F.col("host"), r"\.")
     parts = {
@@ -290,8 +293,6 @@ def identify(rows: DataFrame, keep: list[str]) -> DataFrame:
     """``rows`` is a written table (row, text, declared, host and the ``keep`` columns)."""
     known = languages(rows)
     carried = list(dict.fromkeys([*keep, "declared", "host"]))
-    if not known:
-        return fuse(rows.select(*carried, F.lit(0).alias("letters")), [])
     measured = with_likelihood(rows, carried, fit(rows, known))
     return fuse(measured, list(known))
 

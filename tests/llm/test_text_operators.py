@@ -140,6 +140,14 @@ def test_language_posterior_is_bayes(spark):
     assert found[3].language == "und"
 
 
+def test_no_language_is_declared(spark):
+    rows = [(1, "some words of a text", None, "a"), (2, "", "", "a"), (3, None, None, None), (4, "12 34", None, "b"), (5, "漢字", "", None)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    found = {r.doc_id: (r.language, r.posterior, r.kept) for r in language_id.document_languages(table).collect()}
+    assert found == {i: ("und", 0.0, i in (1, 5)) for i in range(1, 6)}
+    assert sorted(r.doc_id for r in language_id.language_filter(table).collect()) == [1, 5]
+
+
 def test_every_declared_language_is_modelled(spark):
     """70 languages of their own letters, and a text whose trigrams none has."""
     r = random.Random(11)
