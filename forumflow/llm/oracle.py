@@ -248,3 +248,57 @@ ORACLE: dict[str, str] = {
     "op9_quality_rules": _quality(),
     "op10_decontamination": DECONTAMINATION,
 }
+
+
+def _codebooks(rounds: int = 2, entries: int = 64) -> str:
+    """k-means of integer parts: ``rounds`` assignments and updates, then a final assignment."""
+    blocks = []
+    for r in range(rounds + 1):
+        blocks.append(
+            f"""a{r} as (
+  select rn, label, p, x, arg_min(idx, [d, idx]) as idx, min(d) as d from (
+    select rn, label, pt.p, x, idx,
+      list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - e[i]) * (x[i] - e[i])))::bigint as d
+    from part pt join b{r} using (p)) group by all)"""
+        )
+        if r < rounds:
+            blocks.append(
+                f"""s{r} as (
+  select p, idx, list(floor(s / c)::bigint order by i) as e from (
+    select p, idx, i, sum(x[i]) as s, count(*) as c
+    from a{r}, unnest(range(1, len(x) + 1)) as t(i) group by p, idx, i) group by p, idx),
+b{r + 1} as (select p, idx, coalesce(s.e, b.e) as e from b{r} b left join s{r} s using (p, idx))"""
+            )
+    final = f"a{rounds}"
+    return f"""
+with good as (
+  select vec_id, label, embedding from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(embedding) % 16 = 0
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+dim as (select len(embedding) as n from good order by vec_id, embedding limit 1),
+kept as (
+  select row_number() over (order by vec_id, embedding) as rn, vec_id, label,
+    list_transform(embedding, lambda x: floor(x::double * 256)::bigint) as q
+  from good where len(embedding) = (select n from dim)),
+part as (
+  select rn, label, p::int as p, q[p * (len(q) // 16) + 1 : (p + 1) * (len(q) // 16)] as x
+  from kept, range(16) as t(p)),
+b0 as (
+  select p, (rn - 1)::int as idx, x as e from part where rn <= {entries}),
+{",\n".join(blocks)},
+book as (
+  select sha256(string_agg(v::varchar, ',' order by p, idx, i)) as h
+  from b{rounds}, unnest(e) with ordinality as t(v, i)),
+code as (
+  select rn, any_value(label) as label, sum(d)::bigint as error,
+    string_agg(lower(printf('%02x', idx)), '' order by p) as code
+  from {final} group by rn)
+select k.vec_id, c.code, c.error,
+  (sum(c.error) over (partition by c.label))::bigint as label_error,
+  (select h from book) as codebooks_sha256
+from code c join kept k using (rn)
+"""
+
+
+ORACLE["op12_vector_codes"] = _codebooks()

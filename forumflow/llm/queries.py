@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forumflow.llm import (
     chat,
+    codebooks,
     decontaminate,
     html_extract,
     jaccard,
@@ -88,6 +89,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, items, ["doc_id"])
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code of every kept embedding, by rounds of k-means with memoised grid cells."""
+    return codebooks.compressed_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "language_id_pages": language_id_pages,
@@ -100,4 +106,5 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
+    "op12_vector_codes": op12_vector_codes,
 }
