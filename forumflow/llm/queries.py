@@ -14,6 +14,7 @@ from forumflow.llm import (
     language_id,
     packing,
     quality,
+    spelling,
     token_files,
     toxicity,
     warc,
@@ -94,6 +95,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codebooks.compressed_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near spellings, form and root of every frequent word of all documents."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "language_id_pages": language_id_pages,
@@ -107,4 +113,5 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
     "op12_vector_codes": op12_vector_codes,
+    "op13_spelling_variants": op13_spelling_variants,
 }
