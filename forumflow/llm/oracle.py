@@ -302,3 +302,22 @@ from code c join kept k using (rn)
 
 
 ORACLE["op12_vector_codes"] = _codebooks()
+
+# Exact nearest neighbours by brute force: every 50th row against all others.
+NEAREST = r"""
+with good as (
+  select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+nz as (select vec_id, min(v) as v from good where list_dot_product(v, v) > 0 group by vec_id),
+dim as (select len(v) as n from nz order by vec_id, v limit 1),
+kept as (select vec_id, v, sqrt(list_dot_product(v, v)) as nrm from nz where len(v) = (select n from dim)),
+pairs as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v) / (q.nrm * c.nrm) as score
+  from kept q join kept c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
+"""
+
+ORACLE["op11_nearest_neighbours"] = NEAREST

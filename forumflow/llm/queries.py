@@ -12,6 +12,7 @@ from forumflow.llm import (
     html_extract,
     jaccard,
     language_id,
+    neighbours,
     packing,
     quality,
     spelling,
@@ -90,6 +91,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, items, ["doc_id"])
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest embeddings by cosine of every 50th, found by a hash-prefix forest."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product code of every kept embedding, by rounds of k-means with memoised grid cells."""
     return codebooks.compressed_embeddings(table(spark, sf_dir, "embeddings"))
@@ -112,6 +118,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
     "op12_vector_codes": op12_vector_codes,
     "op13_spelling_variants": op13_spelling_variants,
 }

@@ -126,3 +126,78 @@ def test_pruning_never_drops_the_nearest():
         lo = sum(max(c * 32 - a, a - (c * 32 + 31), 0) ** 2 for c, a in zip(cell, e))
         hi = sum(max(abs(a - c * 32), abs(a - c * 32 - 31)) ** 2 for c, a in zip(cell, e))
         assert lo <= d <= hi
+
+
+from forumflow.llm import neighbours  # noqa: E402
+
+ANN = "vec_id bigint, embedding array<float>, label int"
+
+
+def brute_nearest(rows, every=50, k=5):
+    kept = {}
+    for v, e, _ in rows:
+        if v is None or not e or any(x is None or not math.isfinite(x) for x in e):
+            continue
+        x = np.array(e, np.float32).astype(np.float64)
+        if not (x * x).sum() > 0:
+            continue
+        kept[v] = min(kept.get(v, list(x)), list(x))
+    if not kept:
+        return {}
+    dim = len(kept[min(kept)])
+    kept = {v: np.array(x) for v, x in kept.items() if len(x) == dim}
+    out = {}
+    for q in sorted(v for v in kept if v % every == 0):
+        a = kept[q]
+        scored = sorted(
+            (-(a @ b) / (np.linalg.norm(a) * np.linalg.norm(b)), v) for v, b in kept.items() if v != q
+        )
+        out[q] = [v for _, v in scored[:k]]
+    return out
+
+
+def spark_nearest(spark, rows):
+    got = neighbours.nearest(spark.createDataFrame(rows, ANN)).collect()
+    out = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        out.setdefault(r["query_id"], []).append(r["vec_id"])
+    return out, got
+
+
+def test_nearest_recall_against_brute_force(spark):
+    rows = vectors(1500, dim=16, seed=9)
+    want = brute_nearest(rows)
+    got, raw = spark_nearest(spark, rows)
+    assert set(got) == set(want)
+    hits = sum(len(set(got[q]) & set(want[q])) for q in want)
+    assert hits / (5 * len(want)) >= 0.9
+    assert all(len(v) == 5 for v in got.values())
+    assert [r["rank"] for r in raw if r["query_id"] == 0] == [1, 2, 3, 4, 5]
+
+
+def test_nearest_copies_ties_and_odd_rows(spark):
+    rows = vectors(120, dim=16, seed=4)
+    copy = rows[7][1]
+    rows += [(1000 + i, copy, 0) for i in range(60)]  # a hot vector, and 1050 is a query in it
+    rows += [
+        (2000, None, 1),
+        (2001, [], 1),
+        (2002, [0.0] * 16, 1),
+        (2003, [float("nan")] * 16, 1),
+        (2004, [None] * 16, 1),
+        (2050, [0.1] * 8, 1),  # another length: takes no part, though a query
+        (None, copy, 1),
+        (50, rows[50][1], 2),  # a repeated row
+    ]
+    want = brute_nearest(rows)
+    got, raw = spark_nearest(spark, rows)
+    assert got == want  # small: the forest reaches every class
+    assert got[1050] == [7, 1000, 1001, 1002, 1003]  # equal scores go to smaller vec_ids
+    assert 2050 not in got and not {r["vec_id"] for r in raw} & {2000, 2001, 2002, 2003, 2004, 2050}
+
+
+def test_nearest_few_candidates_and_empty(spark):
+    assert spark_nearest(spark, [])[0] == {}
+    rows = [(0, [1.0, 0.0], 0), (3, [0.0, 1.0], 0), (100, [1.0, 1.0], 0), (7, [0.5, 0.4], 0)]
+    got, _ = spark_nearest(spark, rows)
+    assert got == brute_nearest(rows) and len(got[0]) == 3
