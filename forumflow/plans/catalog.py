@@ -45,7 +45,7 @@ from forumflow.plans.inputs import (
 from forumflow.schemas import WIDTH
 from forumflow.session import scratch_path
 from forumflow.sources.items import seed_conflicts, union_communities
-from forumflow.sources.store import Store
+from forumflow.sources.keyed import KeyedStore
 from forumflow.streaming.ingest import stream_to_files, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,11 +164,20 @@ def seed_consistency(spark, sf_dir):
 
 
 def sink_roundtrip(spark, sf_dir):
-    store = Store(spark, scratch_path(spark, "store"), {"post": 8, "comment": 8})
-    store.apply(event_items(table(spark, sf_dir, "events")), RUN_STARTED)
+    store = KeyedStore(spark, scratch_path(spark, "store"), {"post": 8, "comment": 8})
+    store.apply(event_items(table(spark, sf_dir, "events")), RUN_STARTED, BATCH)
     return store.table("post").select(*POST_COLUMNS)
 
 
+def sink_two_batches(spark, sf_dir):
+    """Two arrivals through the stored tables: the second reads and replaces touched buckets."""
+    events = table(spark, sf_dir, "events")
+    store = KeyedStore(spark, scratch_path(spark, "store"), {"post": 8, "comment": 8})
+    store.apply(event_items(_earlier(events)), RUN_STARTED, BATCH)
+    store.apply(event_items(_later(events)), RUN_STARTED, BATCH + 1)
+    return store.table("post").select(*POST_COLUMNS, "last_seq", "inserted_in")
+
+
 # Extraction
 
 
@@ -496,7 +505,7 @@ def stream_ingest(spark, sf_dir):
 def stream_upsert_query(spark, sf_dir):
     stream = _event_stream(spark, sf_dir)
     out = scratch_path(spark, "stream-upsert")
-    store = Store(spark, f"{out}/state", {"post": 8, "comment": 8})
+    store = KeyedStore(spark, f"{out}/state", {"post": 8, "comment": 8})
     query = stream_upsert(
         event_items(stream), store, f"{out}/checkpoint", "stream_upsert", clock=lambda: RUN_STARTED
     )
@@ -522,6 +531,7 @@ QUERIES: dict[str, Query] = {
     "union_communities": union_of_communities,
     "seed_consistency": seed_consistency,
     "sink_roundtrip": sink_roundtrip,
+    "sink_two_batches": sink_two_batches,
     "extract_cards": extract_cards_query,
     "extract_title": extract_title,
     "extract_first_link": extract_first_link,

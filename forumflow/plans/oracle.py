@@ -323,6 +323,7 @@ from flat group by joined""",
 select seq, community, title, upvotes, datetime, reason, insert_reason from typed""",
     "stream_upsert": f"{_RUN} {_ORACLE_POSTS}",
     "late_update": _two_arrivals(),
+    "sink_two_batches": _two_arrivals(),
     "reject_report": f"""{_RUN}
 select 'post' as stage, coalesce(reason, insert_reason) as reason, seq, cast(null as bigint) as pos
 from typed left join posts using (title)

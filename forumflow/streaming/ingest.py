@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from forumflow.schemas import POST_ITEM
-from forumflow.sources.store import Store
+from forumflow.sources.keyed import KeyedStore
 
 
 def read_item_stream(
@@ -27,24 +27,21 @@ def utc_now() -> datetime:
 
 def stream_upsert(
     items: DataFrame,
-    store: Store,
+    store: KeyedStore,
     checkpoint: str,
     name: str,
     every: str | None = None,
     clock: Callable[[], datetime] = utc_now,
 ) -> StreamingQuery:
-    """Apply a stream of items to a store, one micro-batch at a time.
+    """Apply a stream of items to a store, one micro-batch at a time, with its batch id.
 
     Without ``every`` it takes what is there and stops, to be started by a schedule; with it
-    (such as "3 hours") it runs on. A micro-batch that Spark repeats after a failure is
-    recognised by its epoch and the id its checkpoint keeps, and is applied once, with the start
-    time of its first attempt. A new checkpoint has a new id, so nothing it reads is skipped.
+    (such as "3 hours") it runs on. A micro-batch that Spark repeats after a failure is applied
+    again; the store's merges make that leave the state as one application does.
     """
 
-    def apply(rows: DataFrame, epoch: int) -> None:
-        source = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        started = store.start_of(source, epoch, clock())
-        store.apply(rows, started, source=source, epoch=epoch)
+    def apply(rows: DataFrame, batch_id: int) -> None:
+        store.apply(rows, clock(), batch_id)
 
     writer = items.writeStream.queryName(name).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
