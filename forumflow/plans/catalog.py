@@ -46,7 +46,7 @@ from forumflow.schemas import WIDTH
 from forumflow.session import scratch_path
 from forumflow.sources.items import seed_conflicts, union_communities
 from forumflow.sources.keyed import KeyedStore
-from forumflow.streaming.ingest import stream_to_files, stream_upsert
+from forumflow.streaming.ingest import latest, stream_fold, stream_to_files, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -489,6 +489,38 @@ def _event_stream(spark, sf_dir):
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
 
 
+def _fold_columns(folded: DataFrame) -> DataFrame:
+    return folded.select(
+        "title",
+        F.col("first.author").alias("first_author"),
+        F.col("first.seq").alias("first_seq"),
+        F.col("last.upvotes").alias("last_upvotes"),
+        F.col("last.seq").alias("last_seq"),
+    )
+
+
+def stream_fold_query(spark, sf_dir):
+    """The fold of all events kept as streaming state, over files arriving in two runs.
+
+    The events are dealt into files by a hash of their id; the first run finds half of them, a
+    restart on the same checkpoint the rest, one file per epoch.
+    """
+    events = table(spark, sf_dir, "events")
+    out = scratch_path(spark, "stream-fold")
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+
+    def fold(rows):
+        return merge.fold_posts(post_rows(type_posts(event_items(rows))))
+
+    for part in (0, 1):
+        events.where(half == part).repartition(2).write.mode("append").parquet(f"{out}/inbox")
+        stream = reader.parquet(f"{out}/inbox")
+        query = stream_fold(stream, fold, f"{out}/updates", f"{out}/checkpoint", "stream_fold")
+        query.awaitTermination()
+    return _fold_columns(latest(spark, f"{out}/updates", "title"))
+
+
 def stream_ingest(spark, sf_dir):
     stream = _event_stream(spark, sf_dir)
     rows = post_rows(type_posts(event_items(stream)))
@@ -570,6 +602,7 @@ QUERIES: dict[str, Query] = {
     "conversation_comments": conversation_comments,
     "stream_ingest": stream_ingest,
     "stream_upsert": stream_upsert_query,
+    "stream_fold": stream_fold_query,
     "late_update": late_update,
     "reject_report": reject_report,
 }

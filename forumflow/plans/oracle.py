@@ -300,6 +300,11 @@ select coalesce(new.datetime, old.datetime) as datetime, community from new full
 select title, arg_min(author, seq) filter (where insert_reason is null) as first_author,
     min(seq) filter (where insert_reason is null) as first_seq, arg_max(upvotes, seq) as last_upvotes,
     max(seq) as last_seq
+from typed where reason is null group by title""",
+    "stream_fold": f"""{_TYPED}
+select title, arg_min(author, seq) filter (where insert_reason is null) as first_author,
+    min(seq) filter (where insert_reason is null) as first_seq, arg_max(upvotes, seq) as last_upvotes,
+    max(seq) as last_seq
 from typed where reason is null group by title""",
     "first_per_key": """
 select user_id, min(event_id) as event_id, arg_min(event_type, event_id) as event_type,

@@ -67,3 +67,45 @@ def running_counters(posts: DataFrame) -> DataFrame:
         F.min_by(F.struct("author", "datetime"), order).alias("first"),
         F.max_by(F.struct("upvotes", "community"), order).alias("last"),
     )
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keep_state_in_rocksdb(spark: SparkSession) -> None:
+    """Streaming state on local disk of the executors rather than in their heap, unless the
+    cluster has chosen a provider already. Takes effect for queries started afterwards."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    current = spark.conf.get(key, None)
+    if not current or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB)
+
+
+def stream_fold(
+    rows: DataFrame, fold: Callable[[DataFrame], DataFrame], updates: str, checkpoint: str, name: str
+) -> StreamingQuery:
+    """Keep ``fold(rows)`` as streaming state and append each epoch's changed groups.
+
+    The aggregate lives in Spark's state store, so each epoch reads only its new files. In update
+    mode an epoch emits the whole current value of every group it changed; ``latest`` reads them
+    back as one row per group.
+    """
+
+    def append(changed: DataFrame, epoch: int) -> None:
+        # Written as one folder per epoch, replaced if Spark repeats the epoch.
+        changed.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("epoch").parquet(updates)
+
+    keep_state_in_rocksdb(rows.sparkSession)
+    writer = fold(rows).writeStream.queryName(name).outputMode("update")
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return writer.foreachBatch(append).start()
+
+
+def latest(spark: SparkSession, updates: str, key: str) -> DataFrame:
+    """One row per group: the value its last epoch emitted."""
+    rows = spark.read.parquet(updates)
+    values = [c for c in rows.columns if c not in (key, "epoch")]
+    newest = F.max_by(F.struct(*values), "epoch").alias("v")
+    return rows.groupBy(key).agg(newest).select(key, "v.*")

@@ -135,3 +135,26 @@ def test_running_counters_equal_the_batch(spark, tmp_path):
     query.awaitTermination()
     batch = running_counters(usable(frame(spark, items))).collect()
     assert sorted(spark.table("counters").collect(), key=str) == sorted(batch, key=str)
+
+
+def test_fold_kept_as_streaming_state_over_epochs_and_a_restart(spark, tmp_path):
+    from forumflow.operators import merge
+    from forumflow.streaming.ingest import latest, stream_fold
+
+    items = random_items(random.Random(6), 160)
+
+    def fold(rows):
+        return merge.fold_posts(post_rows(type_posts(rows)))
+
+    for run in range(2):  # two files a run, the second on the same checkpoint
+        for n in (2 * run, 2 * run + 1):
+            part = frame(spark, items[n * 40 : n * 40 + 40]).coalesce(1)
+            part.write.mode("append").json(str(tmp_path / "in"))
+        reader = read_item_stream(spark, str(tmp_path / "in"), files_per_batch=1)
+        query = stream_fold(reader, fold, str(tmp_path / "up"), str(tmp_path / "cp"), "fold")
+        query.awaitTermination()
+        assert len([p for p in query.recentProgress if p["numInputRows"]]) == 2
+        assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    got = latest(spark, str(tmp_path / "up"), "title")
+    want = fold(frame(spark, items))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(*got.columns).collect()))
