@@ -212,7 +212,8 @@ def compress(rows: DataFrame, vector: str = "embedding") -> tuple[DataFrame, lis
     out = kept.select("row", "vec_id", "label").join(
         codes.select("row", code.alias("code"), "error"), "row"
     )
-    return out, sorted((r["p"], r["idx"], list(r["e"])) for r in books.collect())
+    # Written once: the per-label sums and the rows both read it.
+    return staged(out, "codebook-codes"), sorted((r["p"], r["idx"], list(r["e"])) for r in books.collect())
 
 
 def codebook_digest(books: list) -> str:
