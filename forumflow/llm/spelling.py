@@ -56,6 +56,8 @@ ALPHABET = np.array([ord(c) for c in LOWER] + list(range(0xC0, 0x100)), np.uint6
 BITS_PER_WORD = 16
 HASHES = 6
 BROADCAST_BYTES = 64 << 20
+# Vocabulary words per task while probing: each costs its length times the alphabet in hashing.
+PROBE_WORDS = 20_000
 _BASE = 0x100000001B3
 _MASK = (1 << 64) - 1
 
@@ -244,7 +246,8 @@ def near_pairs(vocab: DataFrame) -> DataFrame:
             start = np.array([offsets[int(n)] for n in bits["length"].to_numpy()], np.int64)
             table[start + bits["slot"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
         bloom = spark.sparkContext.broadcast((offsets, shards, table))
-    positives = keyed.select("word", "key").mapInPandas(
+    parts = max(spark.sparkContext.defaultParallelism, -(-sum(per_length.values()) // PROBE_WORDS))
+    positives = keyed.select("word", "key").repartition(parts).mapInPandas(
         _probe(bloom), "a_key long, b_length long, b_key long"
     )
     words_b = keyed.select(F.col("word").alias("b"), F.col("length").alias("b_length"), F.col("key").alias("b_key"))
