@@ -502,19 +502,22 @@ def _fold_columns(folded: DataFrame) -> DataFrame:
 def stream_fold_query(spark, sf_dir):
     """The fold of all events kept as streaming state, over files arriving in two runs.
 
-    The events are dealt into files by a hash of their id; the first run finds half of them, a
-    restart on the same checkpoint the rest, one file per epoch.
+    The events are dealt in two by a hash of their id; the first run finds one half of them, a
+    restart on the same checkpoint the other, each in two epochs. An epoch's files are as many as
+    the tasks that read the events, since a file of one row group is read by one task.
     """
     events = table(spark, sf_dir, "events")
     out = scratch_path(spark, "stream-fold")
     half = F.pmod(F.xxhash64("event_id"), F.lit(2))
-    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    n_files = events.rdd.getNumPartitions()
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", n_files)
 
     def fold(rows):
         return merge.fold_posts(post_rows(type_posts(event_items(rows))))
 
     for part in (0, 1):
-        events.where(half == part).repartition(2).write.mode("append").parquet(f"{out}/inbox")
+        arriving = events.where(half == part).repartition(2 * n_files)
+        arriving.write.mode("append").parquet(f"{out}/inbox")
         stream = reader.parquet(f"{out}/inbox")
         query = stream_fold(stream, fold, f"{out}/updates", f"{out}/checkpoint", "stream_fold")
         query.awaitTermination()

@@ -9,6 +9,7 @@ import pytest
 
 from forumflow.operators.typed import post_rows, type_posts
 from forumflow.sources.keyed import KeyedStore
+from forumflow.streaming import ingest
 from forumflow.streaming.ingest import read_item_stream, running_counters, stream_upsert
 from tests.model import Model
 from tests.test_batch import START, compare, frame, item, random_items
@@ -158,3 +159,34 @@ def test_fold_kept_as_streaming_state_over_epochs_and_a_restart(spark, tmp_path)
     got = latest(spark, str(tmp_path / "up"), "title")
     want = fold(frame(spark, items))
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(*got.columns).collect()))
+
+
+def test_stream_fold_deals_each_epoch_to_as_many_files_as_tasks(spark, tmp_path, monkeypatch):
+    from forumflow.plans import catalog
+
+    events = spark.range(900, numPartitions=3).selectExpr(
+        "id as event_id",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id % 97) as ts",
+        "id % 40 as user_id",
+        "'view' as event_type",
+        "1.0D as value",
+        "'text' as props",
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    tasks = spark.read.parquet(str(tmp_path / "events.parquet")).rdd.getNumPartitions()
+    assert tasks > 1
+    started = []
+
+    def recorded(*args):
+        started.append(ingest.stream_fold(*args))
+        return started[-1]
+
+    monkeypatch.setattr(catalog, "stream_fold", recorded)
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: str(tmp_path / name))
+    got = catalog.stream_fold_query(spark, str(tmp_path)).collect()
+    want = catalog.fold_duplicates(spark, str(tmp_path)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) == 40
+    inbox = spark.read.parquet(str(tmp_path / "stream-fold" / "inbox"))
+    assert len(inbox.inputFiles()) == 4 * tasks and inbox.count() == 900
+    epochs = [[p for p in q.recentProgress if p["numInputRows"]] for q in started]
+    assert [len(e) for e in epochs] == [2, 2]
