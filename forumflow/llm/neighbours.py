@@ -11,20 +11,22 @@ vectors, in double precision, and the best ``K`` returned, ties to the smaller v
 As Spark jobs: the sorted arrays of a tree are its buckets at every prefix length, counted once
 at full length and then each length from the one below (the counts shrink as lengths do); "descend, then ascend in step" is the greatest prefix
 length at which the counts of the query's buckets, summed over trees, reach that number, taken
-by an aggregation per query. Candidates are a join of the query's buckets at that length with
-the vectors' buckets. Nothing is capped: a bucket is taken whole, so a query whose buckets hold
+by an aggregation per query. Candidates are looked up in blocks: the query classes and all classes
+are packed into blocks of bounded size, each pair of blocks is one row of a cross join, and a task
+marks a pair of blocks' candidates tree by tree (equal prefixes at the query's length), so that no
+pair of vectors ever becomes a row. It hands on the ``K + 1`` best classes a query has there.
+Nothing is capped: a bucket is taken whole, so a query whose buckets hold
 fewer vectors than asked gets them all, and at length 0 every vector is a candidate.
 
 Identical vectors are one class before any of this (an aggregation by the vector): a vector that
 a third of all rows hold is one point of the forest, its bucket does not grow with its copies,
 and its members come back only as the ``K + 1`` smallest vec_ids, taken by a window over salted
-parts of the class. Projections and scores run in Arrow batches with numpy. Broadcast are the
-hyperplanes (``TREES * BITS`` times the vector length) and the query vectors when a count shows
-them under ``QUERY_BROADCAST_BYTES``; beyond that they join the candidate pairs instead.
+parts of the class. Projections and scores run in Arrow batches with numpy. Broadcast by hand are
+the hyperplanes only (``TREES * BITS`` times the vector length).
 
 Recall against brute force (tests and README): the embeddings given are nearly isotropic, so
-prefixes discriminate weakly and the share is what buys recall; the work per query grows with
-the table, as for any index on such data.
+prefixes discriminate weakly and the share is what buys recall; the comparisons per query grow
+with the table (those of all queries with its square, at some tens of nanoseconds each).
 
 Queries are the rows whose vec_id is divisible by ``EVERY``, candidates all other kept rows.
 Defined cases: rows with a null vec_id, a null, empty or zero vector, or a null or non-finite
@@ -58,7 +60,14 @@ K = 5
 EVERY = 50
 SEED = 20240611
 SALTS = 64
-QUERY_BROADCAST_BYTES = 64 << 20
+# Classes and query classes packed into one row, and the most bytes of vectors in it.
+BLOCK, QUERY_BLOCK = 2048, 256
+BLOCK_BYTES = 4 << 20
+# Above the rounding of a cosine however summed: what comes within it of the best is scored exactly.
+MARGIN = 1e-9
+# Pairs scored at a time, and found rows held by a task before only the best are kept.
+CHUNK = 1 << 14
+HELD = 1 << 17
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -71,7 +80,7 @@ def _hyperplanes(dim: int) -> np.ndarray:
 
 
 def _hashes(planes):
-    """mapInPandas function: each class with its TREES bit strings as 32-bit numbers."""
+    """mapInPandas function: each class with its TREES bit strings as numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = (1 << np.arange(BITS - 1, -1, -1)).astype(np.int64)
@@ -81,29 +90,103 @@ def _hashes(planes):
             v = np.stack(batch["v"].to_numpy())
             signs = (v @ planes.value.T > 0).reshape(len(batch), TREES, BITS)
             keys = (signs * weights).sum(-1)
-            yield pd.DataFrame({"rep": batch["rep"].to_numpy(), "keys": list(keys)})
+            yield pd.DataFrame({"rep": batch["rep"].to_numpy(), "v": batch["v"], "keys": list(keys)})
 
     return run
 
 
-def _scores(table):
-    """mapInPandas function: cosine of each (query class, candidate class) in float64."""
+def _packed(size: int, names: list[str], types: list):
+    """mapInPandas function: rows packed by up to ``size``, the values of each column as bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = pd.DataFrame(columns=names)
         for batch in batches:
-            if not len(batch):
-                continue
-            c = np.stack(batch["cv"].to_numpy())
-            if table is None:
-                q = np.stack(batch["qv"].to_numpy())
-            else:
-                index, matrix = table.value
-                q = matrix[np.array([index[k] for k in batch["qrep"]])]
-            dot = np.cumsum(q * c, axis=1)[:, -1]  # sums in index order, as SQL's dot product
-            norms = np.sqrt(np.cumsum(q * q, axis=1)[:, -1]) * np.sqrt(np.cumsum(c * c, axis=1)[:, -1])
-            yield pd.DataFrame(
-                {"qrep": batch["qrep"].to_numpy(), "crep": batch["crep"].to_numpy(), "score": dot / norms}
-            )
+            held = pd.concat([held, batch[names]], ignore_index=True) if len(held) else batch[names]
+            while len(held) >= size:
+                yield pack(held.iloc[:size])
+                held = held.iloc[size:]
+        if len(held):
+            yield pack(held)
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        values = {n: np.stack(rows[n].to_numpy()).astype(t).tobytes() for n, t in zip(names, types)}
+        return pd.DataFrame({n: [v] for n, v in values.items()})
+
+    return run
+
+
+def _blocks(rows: DataFrame, size: int, parts: int, types: dict) -> DataFrame:
+    """The rows in blocks of up to ``size``, dealt over ``parts`` partitions."""
+    schema = ", ".join(f"{c} binary" for c in types)
+    spread = rows.select(*types).repartition(parts)
+    return spread.mapInPandas(_packed(size, list(types), list(types.values())), schema)
+
+
+def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Cosines of rows of two matrices, summed in index order, as SQL's dot product."""
+    dot = np.cumsum(q * c, axis=1)[:, -1]
+    norms = np.sqrt(np.cumsum(q * q, axis=1)[:, -1]) * np.sqrt(np.cumsum(c * c, axis=1)[:, -1])
+    return dot / norms
+
+
+def _candidates(levels: np.ndarray, qkeys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which classes share, in any tree, a query's prefix of its level."""
+    found = np.ones((len(levels), len(keys)), bool)
+    for level in np.unique(levels[levels > 0]):
+        mine = np.flatnonzero(levels == level)
+        asked = (qkeys[mine] >> (BITS - level)).T.astype(np.uint16, order="C")
+        there = (keys >> (BITS - level)).T.astype(np.uint16, order="C")
+        hit = np.zeros((len(mine), len(keys)), bool)
+        for tree in range(TREES):
+            hit |= asked[tree][:, None] == there[tree][None, :]
+        found[mine] = hit
+    return found
+
+
+def _best(found: pd.DataFrame) -> pd.DataFrame:
+    """The K + 1 best classes of each query class, ties to the smaller; NaN counts as greatest."""
+    order = np.where(np.isnan(found["score"]), -np.inf, -found["score"])
+    place = np.lexsort((found["crep"].to_numpy(), order, found["qrep"].to_numpy()))
+    return found.iloc[place].groupby("qrep", sort=False).head(K + 1)
+
+
+def _matches(dim: int):
+    """mapInPandas function over pairs of blocks: best candidates of each query class by cosine."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for batch in batches:
+            for pair in batch.itertuples(index=False):
+                held.append(matched(pair))
+                n += len(held[-1])
+                if n > HELD:
+                    held = [_best(pd.concat(held, ignore_index=True))]
+                    n = len(held[0])
+                    if n > HELD // 2:
+                        yield held.pop()
+                        n = 0
+        if held:
+            yield _best(pd.concat(held, ignore_index=True))
+
+    def matched(pair) -> pd.DataFrame:
+        creps, qreps = np.frombuffer(pair.rep, np.int64), np.frombuffer(pair.qrep, np.int64)
+        c, q = (np.frombuffer(x, np.float64).reshape(-1, dim) for x in (pair.v, pair.qv))
+        keys, qkeys = (np.frombuffer(x, np.int32).reshape(-1, TREES) for x in (pair.keys, pair.qkeys))
+        found = _candidates(np.frombuffer(pair.level, np.int32), qkeys, keys)
+        with np.errstate(all="ignore"):
+            norms = np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(c, axis=1)[None, :]
+            near = (q @ c.T) / norms
+            near[np.isnan(near)] = np.inf
+            near[~found] = -np.inf
+            if len(creps) > K + 1:
+                least = np.partition(near, len(creps) - K - 1, axis=1)[:, len(creps) - K - 1]
+                found &= ~(near < least[:, None] - MARGIN)
+            i, j = np.nonzero(found)
+            scores = [
+                _exact(q[i[a : a + CHUNK]], c[j[a : a + CHUNK]]) for a in range(0, len(i), CHUNK)
+            ]
+        score = np.concatenate(scores) if scores else np.zeros(0)
+        return _best(pd.DataFrame({"qrep": qreps[i], "crep": creps[j], "score": score}))
 
     return run
 
@@ -146,10 +229,13 @@ def nearest(rows: DataFrame, vector: str = "embedding") -> DataFrame:
     )  # at most (K + 1) * SALTS ids a class before the slice
 
     planes = spark.sparkContext.broadcast(_hyperplanes(dim))
-    hashed = classes.select("rep", "v").mapInPandas(_hashes(planes), "rep bigint, keys array<bigint>")
-    leaves = staged(
-        hashed.select("rep", F.posexplode("keys").alias("tree", "key")), "ann-leaves"
+    hashed = staged(
+        classes.select("rep", "v").mapInPandas(
+            _hashes(planes), "rep bigint, v array<double>, keys array<bigint>"
+        ),
+        "ann-hashes",
     )
+    leaves = hashed.select("rep", F.posexplode("keys").alias("tree", "key"))
     # Bucket sizes at every prefix length, each length aggregated from the one below.
     level = leaves.groupBy("tree", F.col("key").alias("prefix")).agg(
         F.count(F.lit(1)).alias("size")
@@ -181,31 +267,29 @@ def nearest(rows: DataFrame, vector: str = "embedding") -> DataFrame:
     depth = found.groupBy("qrep").agg(
         F.coalesce(F.max(F.when(F.col("others") >= want, F.col("level"))), F.lit(0)).alias("level")
     )
-    reach = staged(mine.join(depth, ["qrep", "level"]), "ann-reach")
-    used = sorted(r["level"] for r in reach.select("level").distinct().collect())  # <= BITS + 1
-    theirs = leaves.select(
-        "rep", "tree", F.explode(F.array(*(F.lit(n) for n in used))).alias("level"), "key"
-    ).select("rep", "tree", "level", F.expr(f"shiftright(key, {BITS} - level)").alias("prefix"))
-    candidates = (
-        reach.join(theirs, ["tree", "level", "prefix"])
-        .select("qrep", F.col("rep").alias("crep"))
-        .distinct()
+    asking = staged(
+        hashed.join(depth, hashed["rep"] == depth["qrep"]).select(
+            "qrep", "level", F.col("v").alias("qv"), F.col("keys").alias("qkeys")
+        ),
+        "ann-queries",
     )
-    vectors = classes.select(F.col("rep").alias("crep"), F.col("v").alias("cv"))
-    pairs = candidates.join(vectors, "crep")
-    n_asked = asked.count()
-    if n_asked * dim * 8 <= QUERY_BROADCAST_BYTES:
-        rows_q = classes.join(asked, classes["rep"] == asked["qrep"]).select("qrep", "v").collect()
-        table = spark.sparkContext.broadcast(
-            ({r["qrep"]: i for i, r in enumerate(rows_q)}, np.array([r["v"] for r in rows_q]))
-        )
-        scored = pairs.mapInPandas(_scores(table), "qrep bigint, crep bigint, score double")
-    else:  # too many queries to broadcast: their vectors join the pairs
-        qv = classes.select(F.col("rep").alias("qrep"), F.col("v").alias("qv"))
-        scored = pairs.join(qv, "qrep").mapInPandas(
-            _scores(None), "qrep bigint, crep bigint, score double"
-        )
-    scored = staged(scored, "ann-scores")
+    most = max(1, BLOCK_BYTES // (8 * dim))
+    size, q_size = min(BLOCK, most), min(QUERY_BLOCK, most)
+    cores = spark.sparkContext.defaultParallelism
+    n_blocks, n_q_blocks = -(-n_classes // size), -(-asking.count() // q_size)
+    types = {"rep": np.int64, "v": np.float64, "keys": np.int32}
+    q_types = {"qrep": np.int64, "level": np.int32, "qv": np.float64, "qkeys": np.int32}
+    blocks = _blocks(hashed, size, max(cores, n_blocks // 16, 1), types)
+    q_blocks = _blocks(asking, q_size, max(n_q_blocks // 64, 1), q_types)
+    pairs = staged(blocks, "ann-blocks").crossJoin(staged(q_blocks, "ann-query-blocks"))
+    schema = "qrep bigint, crep bigint, score double"
+    first = Window.partitionBy("qrep").orderBy(F.col("score").desc(), F.col("crep"))
+    scored = (
+        staged(pairs.mapInPandas(_matches(dim), schema), "ann-scores")
+        .withColumn("i", F.row_number().over(first))
+        .where(F.col("i") <= K + 1)
+        .drop("i")
+    )  # each class has a member besides the query, but the query's own may
     expanded = (
         queries.join(scored, "qrep")
         .join(firsts.withColumnRenamed("rep", "crep"), "crep")

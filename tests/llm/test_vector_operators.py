@@ -201,3 +201,60 @@ def test_nearest_few_candidates_and_empty(spark):
     rows = [(0, [1.0, 0.0], 0), (3, [0.0, 1.0], 0), (100, [1.0, 1.0], 0), (7, [0.5, 0.4], 0)]
     got, _ = spark_nearest(spark, rows)
     assert got == brute_nearest(rows) and len(got[0]) == 3
+
+
+def test_nearest_in_small_blocks_without_a_row_for_each_pair(spark, monkeypatch):
+    rows = vectors(1500, dim=16, seed=9)
+    want, _ = spark_nearest(spark, rows)
+    counts = {}
+
+    def counted(table, name):
+        out = staged(table, name)
+        counts[name] = out.count()
+        return out
+
+    staged = neighbours.staged
+    monkeypatch.setattr(neighbours, "staged", counted)
+    monkeypatch.setattr(neighbours, "BLOCK", 100)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 7)
+    got, _ = spark_nearest(spark, rows)
+    assert got == want and len(got) == 30
+    # At most the best six of each query a task, where a task has a block of classes or more.
+    tasks = max(spark.sparkContext.defaultParallelism, 1)
+    assert counts["ann-scores"] <= tasks * 30 * 6
+    assert counts["ann-scores"] < 30 * 1500 / 10
+
+
+def test_block_matches_equal_plain_comparison(monkeypatch):
+    import pandas as pd
+
+    r = np.random.default_rng(5)
+    dim, n, nq = 8, 90, 11
+    v = r.normal(0, 1, (n, dim))
+    v[40:60] = v[3] * np.arange(1, 21)[:, None]  # one direction: ties but for rounding
+    keys = r.integers(0, 1 << neighbours.BITS, (n, neighbours.TREES))
+    level = r.integers(0, 12, nq)
+    monkeypatch.setattr(neighbours, "CHUNK", 13)
+    monkeypatch.setattr(neighbours, "HELD", 60)
+    whole = pd.DataFrame({"rep": np.arange(n), "v": list(v), "keys": list(keys)})
+    asked = pd.DataFrame(
+        {"qrep": np.arange(nq), "level": level, "qv": list(v[:nq]), "qkeys": list(keys[:nq])}
+    )
+    types = {"rep": np.int64, "v": np.float64, "keys": np.int32}
+    q_types = {"qrep": np.int64, "level": np.int32, "qv": np.float64, "qkeys": np.int32}
+
+    def blocks(rows, size, types):
+        pack = neighbours._packed(size, list(types), list(types.values()))
+        return pd.concat(pack(iter([rows.iloc[:50], rows.iloc[50:50], rows.iloc[50:]])))
+
+    pairs = blocks(whole, 32, types).merge(blocks(asked, 4, q_types), how="cross")
+    assert len(pairs) == 9
+    out = pd.concat(neighbours._matches(dim)(iter([pairs.iloc[:5], pairs.iloc[5:]])))
+    for q in range(nq):
+        shift = neighbours.BITS - level[q]
+        near = ((keys >> shift) == (keys[q] >> shift)).any(1)
+        scores = neighbours._exact(np.repeat(v[q : q + 1], n, 0), v)
+        best = sorted((-scores[i], i) for i in np.flatnonzero(near))[: neighbours.K + 1]
+        mine = out[out["qrep"] == q]
+        got = sorted(zip(-mine["score"], mine["crep"]))[: neighbours.K + 1]
+        assert got == best
