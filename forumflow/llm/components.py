@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forumflow.llm.staging import staged
+from forumflow.llm.staging import shuffled_join, staged
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -22,11 +22,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = shuffled_join(both.filter("b > a"), least, "a")
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = staged(large.filter("a <> b").distinct(), "components-large")
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
-        joined = down.join(least, "a")
+        joined = shuffled_join(down, least, "a")
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             joined.select("a", F.col("m").alias("b"))
         )

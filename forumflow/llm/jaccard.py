@@ -17,6 +17,10 @@ A bucket of more than ``BLOCK`` members is split into blocks that meet two at a
 their own, so no task holds a whole hot bucket and no pair is lost. The work of a group of n
 different near copies is n * n / 2 comparisons, which exact link counts demand.
 
+The joins of the method are shuffled, so what the driver holds does not grow with the input. The
+one exception finds the texts to verify: up to ``FEW`` row numbers may be broadcast, which spares
+all texts a shuffle.
+
 Defined results: null and empty texts have no shingles, link to nothing, and each is a class of
 its own; a text of fewer than five words has one shingle of all its words; equal rows are copies
 of each other; no rows give no rows; other columns are ignored.
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forumflow.llm.components import connected_components
-from forumflow.llm.staging import batches_of, numbered, staged
+from forumflow.llm.staging import batches_of, numbered, shuffled_join, staged
 from forumflow.llm.words import gram_hashes, mix, words_of
 
 SHINGLE = 5
@@ -44,6 +48,7 @@ STEP = 16
 THRESHOLD = (4, 5)
 TOLERANCE = 1e-6
 BLOCK = 512
+FEW = 1 << 18
 _BATCH = 2 << 20
 _PAIRS = 1 << 18
 _GROUP = ["band", "key", "low", "high"]
@@ -296,7 +301,7 @@ def links(rows: DataFrame) -> DataFrame:
     shared = at.groupBy("band", "key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     in_buckets = (
-        at.join(shared, ["band", "key"])
+        shuffled_join(at, shared, ["band", "key"])
         .withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
         .select("rep", "band", "key", block.alias("block"), "blocks")
     )
@@ -311,32 +316,33 @@ def links(rows: DataFrame) -> DataFrame:
     )
     values = classes.select("rep", "small", "keys")
     members = staged(
-        _grouped(groups.join(values, "rep")).mapInArrow(
+        _grouped(shuffled_join(groups, values, "rep")).mapInArrow(
             _members, "band int, key bigint, low int, high int, block int, rep bigint"
         ),
         "jaccard-members",
     )
-    wanted = members.select("rep").distinct()
-    sets = _sets_of(rows.join(wanted, rows["row"] == wanted["rep"], "left_semi"))
-    full = members.join(classes.select("rep", "small", "keys", "copies"), "rep").join(sets, "rep")
+    wanted = staged(members.select(F.col("rep").alias("row")).distinct(), "jaccard-wanted")
+    if wanted.count() > FEW:
+        sets = _sets_of(shuffled_join(rows, wanted, "row", "left_semi"))
+    else:
+        sets = _sets_of(rows.join(wanted, "row", "left_semi"))
+    full = shuffled_join(members, classes.select("rep", "small", "keys", "copies"), "rep")
+    full = shuffled_join(full, sets, "rep")
     found = staged(
         _grouped(full).mapInArrow(_links, "rep bigint, root bigint, links bigint"),
         "jaccard-links",
     )
     roots = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    per_class = (
-        classes.select("digest", "rep", "copies")
-        .join(found.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left")
-        .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        .select(
-            "digest",
-            F.coalesce("root", "rep").alias("root"),
-            (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        )
+    linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    per_class = shuffled_join(classes.select("digest", "rep", "copies"), linked, "rep", "left")
+    per_class = shuffled_join(per_class, roots.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "digest",
+        F.coalesce("root", "rep").alias("root"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
     # Copies of one text may be a third of all rows; adaptive execution splits such a join.
-    classed = signed.select("row", "digest").join(per_class, "digest").drop("digest")
-    return rows.select("row").join(classed, "row", "left").select(
+    classed = shuffled_join(signed.select("row", "digest"), per_class, "digest").drop("digest")
+    return shuffled_join(rows.select("row"), classed, "row", "left").select(
         "row",
         F.coalesce("root", "row").alias("root"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
@@ -347,9 +353,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """Each document's class (the least doc_id of its group) and its number of links."""
     rows = numbered(docs, ["doc_id", "text"], "jaccard-docs")
     found = staged(links(rows), "jaccard-found")
-    named = staged(rows.select("row", "doc_id").join(found, "row"), "jaccard-named")
+    named = staged(shuffled_join(rows.select("row", "doc_id"), found, "row"), "jaccard-named")
     least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return named.join(least, "root").select("doc_id", "class_id", "n_links")
+    return shuffled_join(named, least, "root").select("doc_id", "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -35,6 +35,16 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def shuffled_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """The join of two sides that both grow with the input; neither is ever broadcast.
+
+    Spark sizes what it has not run by compressed files, and an explode by the rows that go into
+    it, so it may take a side many times the broadcast limit for a small one; the driver would
+    then hold that side.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 @contextmanager
 def working_files(spark: SparkSession) -> Iterator[None]:
     """Around a step whose predecessor's result has been written elsewhere by now.

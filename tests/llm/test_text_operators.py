@@ -10,11 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from forumflow.llm import (
+    components,
     decontaminate,
     jaccard,
     language_id,
     packing,
     quality,
+    staging,
     token_files,
     toxicity,
 )
@@ -260,6 +262,31 @@ def test_jaccard_against_brute_force(spark, monkeypatch):
         assert got == want
 
 
+@pytest.mark.parametrize("few", [0, 1 << 18])
+def test_jaccard_broadcasts_no_side_that_grows(spark, monkeypatch, few):
+    """The exploded band keys look small by the files they come from; the driver held them all."""
+    r = random.Random(5)
+    texts = [prose(60, r) for _ in range(20)]
+    rows = [(i + 100 * k, t + " end" * k) for i, t in enumerate(texts) for k in (0, 1)]
+    plans = []
+
+    def recorded(rows, name):
+        plans.append((name, rows._jdf.queryExecution().executedPlan().toString()))
+        return staging.staged(rows, name)
+
+    monkeypatch.setattr(jaccard, "FEW", few, raising=False)
+    monkeypatch.setattr(jaccard, "staged", recorded)
+    monkeypatch.setattr(components, "staged", recorded)
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    plans.append(("result", found._jdf.queryExecution().executedPlan().toString()))
+    assert sum("Join" in plan for _, plan in plans) >= 6
+    # Only the row numbers of the texts to verify may be broadcast, and only while they are few.
+    assert {name for name, plan in plans if "Broadcast" in plan} == ({"jaccard-links"} if few else set())
+    assert "".join(plan for _, plan in plans).count("BroadcastHashJoin") == (1 if few else 0)
+    got = {d.doc_id: (d.class_id, d.n_links) for d in found.collect()}
+    assert got == {i: (i % 100, 1) for i, _ in rows}
+
+
 def test_least_matches():
     least = jaccard.least_matches(0.8, 1e-6)
     assert all(0 <= m < 16 * (i + 1) for i, m in enumerate(least))
